@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from refpanel.workload import scoring
+from refpanel.workload import curation, scoring
 
-_MODULES = (scoring,)
+_MODULES = (scoring, curation)
 
 
 def queries() -> dict:
