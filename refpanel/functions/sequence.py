@@ -67,7 +67,7 @@ def revcomp(seq) -> Column:
 
 def residues(seq) -> Column:
     """Sequence as an array of single characters."""
-    return F.split(_col(seq), "")
+    return F.when(F.length(_col(seq)) > 0, F.split(_col(seq), "")).otherwise(F.array().cast("array<string>"))
 
 
 def kmers(seq, k: int) -> Column:

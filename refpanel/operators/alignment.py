@@ -32,22 +32,18 @@ def column_occupancy(alignment: DataFrame) -> DataFrame:
 def trim_alignment(alignment: DataFrame, families: DataFrame | None = None, default_gt: float = GAP_THRESHOLD) -> DataFrame:
     """Rows with only the columns whose occupancy reaches the family's ``trim_gt``.
 
-    Families with fewer than 2 sequences are left out. The kept columns of a family form one
-    array (as long as the alignment is wide); each row picks by position, so rows never meet.
+    Families with fewer than 2 sequences are left out. A family's columns become one array of
+    flags (as long as the alignment is wide) that each row is zipped with: rows never meet.
     """
     occupancy = column_occupancy(alignment).filter("n_rows >= 2")
     limit = F.lit(default_gt)
     if families is not None:
         occupancy = occupancy.join(families.select("family", "trim_gt"), "family", "left")
         limit = F.coalesce("trim_gt", limit)
-    kept = occupancy.filter(F.col("occupancy") >= limit).groupBy("family").agg(F.array_sort(F.collect_list("col")).alias("_cols"))
-    everyone = occupancy.select("family").distinct().join(kept, "family", "left")
-    picked = F.transform("_cols", lambda c: F.coalesce(F.get("_cells", c), F.lit(GAP)))
-    return (
-        alignment.join(everyone, "family")
-        .withColumn("_cells", residues("aligned"))
-        .select("family", "accession", F.coalesce(F.array_join(picked, ""), F.lit("")).alias("trimmed"))
-    )
+    flags = occupancy.groupBy("family").agg(F.array_sort(F.collect_list(F.struct("col", (F.col("occupancy") >= limit).alias("keep")))).alias("_f"))
+    mask = flags.select("family", F.transform("_f", lambda f: f["keep"]).alias("_mask"))
+    kept = F.zip_with(residues("aligned"), "_mask", lambda x, keep: F.when(keep, F.coalesce(x, F.lit(GAP))))
+    return alignment.join(mask, "family").select("family", "accession", F.array_join(kept, "").alias("trimmed"))
 
 
 def build_profile(alignment: DataFrame, pseudocount: float = PSEUDOCOUNT) -> DataFrame:

@@ -30,14 +30,11 @@ def tile_reads(contigs: DataFrame, lengths: list[int], stride: int) -> DataFrame
     Mate 1 is forward; mate 2 is the reverse complement of the same window. Ids are
     ``<contig>_<start>_<length>/<mate>``.
     """
-    tiles = F.flatten(
-        F.array(
-            *[
-                F.transform(windows("seq", n, stride), lambda s, i, n=n: F.struct((i * stride).alias("start"), F.lit(n).alias("read_length"), s.alias("fwd")))
-                for n in lengths
-            ]
-        )
-    )
+    def of_length(n: int) -> Column:
+        cut = lambda fwd, i: F.struct((i * stride).alias("start"), F.lit(n).alias("read_length"), fwd.alias("fwd"))
+        return F.transform(windows("seq", n, stride), cut)
+
+    tiles = F.flatten(F.array(*[of_length(n) for n in lengths]))
     rows = contigs.select("contig_id", F.explode(tiles).alias("t")).select("contig_id", "t.*")
     mates = F.explode(F.array(F.struct(F.lit(1).alias("mate"), F.col("fwd").alias("seq")), F.struct(F.lit(2).alias("mate"), revcomp("fwd").alias("seq"))))
     rows = rows.select("contig_id", "start", "read_length", mates.alias("m")).select("contig_id", "start", "read_length", "m.*")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from refpanel.workload import curation, scoring
+from refpanel.workload import curation, scoring, sequences
 
-_MODULES = (scoring, curation)
+_MODULES = (scoring, curation, sequences)
 
 
 def queries() -> dict:
