@@ -40,9 +40,14 @@ def trim_alignment(alignment: DataFrame, families: DataFrame | None = None, defa
     if families is not None:
         occupancy = occupancy.join(families.select("family", "trim_gt"), "family", "left")
         limit = F.coalesce("trim_gt", limit)
-    flags = occupancy.groupBy("family").agg(F.array_sort(F.collect_list(F.struct("col", (F.col("occupancy") >= limit).alias("keep")))).alias("_f"))
-    mask = flags.select("family", F.transform("_f", lambda f: f["keep"]).alias("_mask"))
-    kept = F.zip_with(residues("aligned"), "_mask", lambda x, keep: F.when(keep, F.coalesce(x, F.lit(GAP))))
+    keep = F.col("occupancy") >= limit
+    flags = occupancy.groupBy("family").agg(
+        F.array_sort(F.collect_list(F.struct("col", keep.alias("keep")))).alias("_f"),
+        F.coalesce(F.max(F.when(keep, F.col("col"))) + 1, F.lit(0)).alias("_width"),
+    )
+    # Nothing is kept beyond the last kept column, so neither mask nor rows go further.
+    mask = flags.select("family", "_width", F.transform(F.slice("_f", 1, F.col("_width")), lambda f: f["keep"]).alias("_mask"))
+    kept = F.zip_with(F.slice(residues("aligned"), 1, F.col("_width")), "_mask", lambda x, keep: F.when(keep, F.coalesce(x, F.lit(GAP))))
     return alignment.join(mask, "family").select("family", "accession", F.array_join(kept, "").alias("trimmed"))
 
 

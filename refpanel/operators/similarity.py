@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refpanel.functions import kmers, residues
+from refpanel.session import materialize
 
 # Published Karlin-Altschul constants for match +1, mismatch -2.
 MATCH, MISMATCH, LAMBDA, KAPPA = 1, -2, 1.33, 0.621
@@ -31,23 +32,29 @@ def bitscore(matches: Column, mismatches: Column) -> Column:
     return (raw * LAMBDA - math.log(KAPPA)) / math.log(2.0)
 
 
-def distinct_sequences(seqs: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
+def distinct_sequences(seqs: DataFrame, group: list[str], k: int) -> tuple[DataFrame, DataFrame]:
     """One row per distinct sequence of a group, and the accession -> representative map.
 
-    The representative of identical sequences is the lowest accession.
+    The representative of identical sequences is the lowest accession. The distinct sequences
+    feed several joins, so they are materialised, with their number of distinct k-mers.
     """
     keyed = seqs.withColumn("_digest", F.md5("seq"))
     one = keyed.groupBy(*group, "_digest").agg(F.min("accession").alias("id"), F.first("seq").alias("seq"))
+    one = materialize(one.withColumn("n_kmers", F.size(F.array_distinct(kmers("seq", k)))))
     members = keyed.select(*group, "accession", "_digest").join(
         one.select(*group, "_digest", "id"), [*group, "_digest"]
     )
     return one.drop("_digest"), members.drop("_digest")
 
 
-def distinct_kmers(seqs: DataFrame, group: list[str], k: int) -> DataFrame:
-    """``(group, id, n_kmers, kmer)``: each distinct k-mer once, without a shuffle."""
-    sets = seqs.select(*group, "id", F.array_distinct(kmers("seq", k)).alias("_set"))
-    return sets.select(*group, "id", F.size("_set").alias("n_kmers"), F.explode("_set").alias("kmer"))
+def kmer_codes(seqs: DataFrame, group: list[str], k: int) -> DataFrame:
+    """``(group, id, n_kmers, code)``: a 64-bit code of each distinct k-mer, without a shuffle.
+
+    Codes only propose pairs: two k-mers with one code can add a candidate but never lose one,
+    and candidates are verified on the k-mers themselves.
+    """
+    each = seqs.select(*group, "id", "n_kmers", F.explode(F.array_distinct(kmers("seq", k))).alias("_kmer"))
+    return each.select(*group, "id", "n_kmers", F.xxhash64("_kmer").alias("code"))
 
 
 def seed_index(seqs: DataFrame, k: int) -> DataFrame:
@@ -61,14 +68,14 @@ def write_seed_index(index: DataFrame, table: str, buckets: int = 200) -> None:
     index.write.mode("overwrite").bucketBy(buckets, "kmer").sortBy("kmer").saveAsTable(table)
 
 
-def rare_probes(query_kmers: DataFrame, ref_counts: DataFrame, group: list[str], containment: int) -> DataFrame:
+def rare_probes(query_codes: DataFrame, ref_counts: DataFrame, group: list[str], containment: int) -> DataFrame:
     """The rarest ``n - need + 1`` k-mers of each query that occur in the references at all."""
-    order = Window.partitionBy(*group, "id").orderBy(F.coalesce("df", F.lit(0)), "kmer")
+    order = Window.partitionBy(*group, "id").orderBy(F.coalesce("df", F.lit(0)), "code")
     return (
-        query_kmers.join(ref_counts, [*group, "kmer"], "left")
+        query_codes.join(ref_counts, [*group, "code"], "left")
         .withColumn("_rank", F.row_number().over(order))
         .filter((F.col("_rank") <= F.col("n_kmers") - needed("n_kmers", containment) + 1) & F.col("df").isNotNull())
-        .select(*group, "id", "kmer")
+        .select(*group, "id", "code")
     )
 
 
@@ -96,7 +103,7 @@ def align_pairs(pairs: DataFrame, queries: DataFrame, refs: DataFrame, group: li
     )
     rows = (
         best.select(*group, "q_id", "r_id", "shared", (-F.col("b.neg")).alias("seeds"), F.col("b.diag").alias("diag"), F.col("b._lo").alias("_lo"), F.col("b._hi").alias("_hi"))
-        .join(queries.select(*group, F.col("id").alias("q_id"), F.col("seq").alias("_q")), [*group, "q_id"])
+        .join(queries.select(*group, F.col("id").alias("q_id"), F.col("seq").alias("_q"), "n_kmers"), [*group, "q_id"])
         .join(refs.select(*group, F.col("id").alias("r_id"), F.col("seq").alias("_r")), [*group, "r_id"])
         .withColumn("q_len", F.length("_q"))
         .withColumn("r_len", F.length("_r"))
@@ -112,7 +119,7 @@ def align_pairs(pairs: DataFrame, queries: DataFrame, refs: DataFrame, group: li
     return (
         rows.withColumn("matches", hits(F.slice("_same", F.col("_lo") - F.col("_start") + 1, F.col("span"))))
         .withColumn("overlap_matches", hits(F.col("_same")))
-        .select(*group, "q_id", "r_id", "shared", "seeds", "diag", F.col("_lo").alias("q_start"), "span", "matches", "overlap_matches", "q_len", "r_len")
+        .select(*group, "q_id", "r_id", "n_kmers", "shared", "seeds", "diag", F.col("_lo").alias("q_start"), "span", "matches", "overlap_matches", "q_len", "r_len")
         .withColumn("pident", F.col("matches") * 100.0 / F.col("span"))
         .withColumn("qcov", F.col("span") / F.col("q_len"))
         .withColumn("scov", F.col("span") / F.col("r_len"))
@@ -123,12 +130,12 @@ def align_pairs(pairs: DataFrame, queries: DataFrame, refs: DataFrame, group: li
 
 def candidate_pairs(q: DataFrame, r: DataFrame, group: list[str], k: int, containment: int) -> DataFrame:
     """Distinct ``(group, q_id, r_id)`` that may share enough k-mers; complete, not yet exact."""
-    ref_kmers = distinct_kmers(r, group, k).drop("n_kmers")
-    counts = ref_kmers.groupBy(*group, "kmer").agg(F.count(F.lit(1)).alias("df"))
-    probes = rare_probes(distinct_kmers(q, group, k), counts, group, containment)
+    ref_codes = kmer_codes(r, group, k).drop("n_kmers")
+    counts = ref_codes.groupBy(*group, "code").agg(F.count(F.lit(1)).alias("df"))
+    probes = rare_probes(kmer_codes(q, group, k), counts, group, containment)
     return (
         probes.withColumnRenamed("id", "q_id")
-        .join(ref_kmers.withColumnRenamed("id", "r_id"), [*group, "kmer"])
+        .join(ref_codes.withColumnRenamed("id", "r_id"), [*group, "code"])
         .select(*group, "q_id", "r_id")
         .distinct()
     )
@@ -146,17 +153,15 @@ def similarity_join(
     """
     if same_family:
         group = ["family"]
-        q, members = distinct_sequences(queries, group)
-        r, _ = distinct_sequences(refs, group)
+        q, members = distinct_sequences(queries, group, k)
+        r, _ = distinct_sequences(refs, group, k)
     else:
         group = []
-        q, members = distinct_sequences(queries.select("accession", "seq"), group)
-        r, _ = distinct_sequences(refs.select("family", "accession", "seq"), ["family"])
+        q, members = distinct_sequences(queries.select("accession", "seq"), group, k)
+        r, _ = distinct_sequences(refs.select("family", "accession", "seq"), ["family"], k)
         r = r.withColumn("id", F.struct("family", "id")).drop("family")
-    pairs = candidate_pairs(q, r, group, k, containment)
-    n_kmers = q.select(*group, F.col("id").alias("q_id"), F.size(F.array_distinct(kmers("seq", k))).alias("n_kmers"))
-    hits = align_pairs(pairs, q, r, group, k).join(n_kmers, [*group, "q_id"])
-    hits = hits.filter(F.col("shared") >= needed("n_kmers", containment))
+    pairs = materialize(candidate_pairs(q, r, group, k, containment))
+    hits = align_pairs(pairs, q, r, group, k).filter(F.col("shared") >= needed("n_kmers", containment))
     if same_family:
         hits = hits.withColumnRenamed("r_id", "subject_id")
     else:

@@ -32,6 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents. A file with fewer splits than cores (small test data) is spread over them."""
+    docs = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(cores)
+
+
 def _literal(value) -> str:
     if value is None:
         return "NULL"
@@ -206,7 +213,7 @@ DOMAINS = "domains AS (SELECT CAST(p_partkey AS VARCHAR) AS accession, string_sp
 
 def doc_sequences(spark, sf_dir) -> DataFrame:
     """Documents as labelled sequences, whole texts."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("lang").alias("family"),
         F.when(F.col("doc_id") % 3 == 0, "negative").otherwise("positive").alias("label"),
         F.col("doc_id").cast("string").alias("accession"),
@@ -255,7 +262,7 @@ PANEL = """panel AS (
 def contigs(spark, sf_dir) -> DataFrame:
     """Documents as contigs: their letters a-z mapped to nucleotides, whole texts."""
     letters = F.regexp_replace(F.lower("text"), "[^a-z]", "")
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("contig_id"),
         F.col("lang").alias("family"),
         F.when(F.col("doc_id") % 3 == 0, "negative").otherwise("positive").alias("label"),
@@ -316,7 +323,7 @@ REGIONS = """regions AS (
 
 def alignment(spark, sf_dir) -> DataFrame:
     """Documents as aligned rows: spaces are gaps, whole texts."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("lang").alias("family"),
         F.col("doc_id").cast("string").alias("accession"),
         F.replace("text", F.lit(" "), F.lit("-")).alias("aligned"),
