@@ -87,13 +87,13 @@ def windows(seq, length: int, stride: int) -> Column:
 def translate_frame(dna, frame: int) -> Column:
     """Protein of one forward frame (1, 2 or 3); codons with other letters give ``X``.
 
-    Letters become base-5 digits once per sequence, so each codon is one number and one lookup.
+    Letters become digits once per sequence, so a codon read as a number is its place in a table.
     """
     digits = F.translate(F.regexp_replace(F.upper(_col(dna)), "[^ACGT]", "N"), "TCAGN", "01234")
     codons = F.regexp_extract_all(F.substring(digits, frame, 2147483647), F.lit("..."), F.lit(0))
-    by_number = F.array(*[F.lit(_amino(n // 25, n // 5 % 5, n % 5)) for n in range(125)])
-    return F.array_join(F.transform(codons, lambda c: F.get(by_number, F.conv(c, 5, 10).cast("int"))), "")
+    by_number = F.array(*[F.lit(_amino(n // 100, n // 10 % 10, n % 10)) for n in range(445)])
+    return F.array_join(F.transform(codons, lambda c: F.get(by_number, c.cast("int"))), "")
 
 
 def _amino(a: int, b: int, c: int) -> str:
-    return "X" if 4 in (a, b, c) else GENETIC_CODE[16 * a + 4 * b + c]
+    return "X" if max(a, b, c) > 3 else GENETIC_CODE[16 * a + 4 * b + c]

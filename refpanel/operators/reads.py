@@ -71,8 +71,9 @@ def _anchor(read: Column, k: int, probes: int) -> Column:
     offsets = F.when(n >= k, F.sequence(F.lit(0), n - k, step))
 
     def place(i: Column) -> Column:
-        # Last occurrence = first occurrence in the reversed contig.
-        back = F.instr(F.col("_reversed"), F.reverse(F.substring(read, i + 1, F.lit(k))))
+        # Last occurrence = first occurrence in the reversed contig. A literal pattern is
+        # searched with skips (Boyer-Moore), which instr does not do.
+        back = F.regexp_instr(F.col("_reversed"), F.reverse(F.substring(read, i + 1, F.lit(k))))
         at = F.col("contig_length") - back - (k - 1)
         start = at - i
         return F.when((back > 0) & (start >= 0) & (start + n <= F.col("contig_length")), start)

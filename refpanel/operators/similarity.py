@@ -68,13 +68,18 @@ def write_seed_index(index: DataFrame, table: str, buckets: int = 200) -> None:
     index.write.mode("overwrite").bucketBy(buckets, "kmer").sortBy("kmer").saveAsTable(table)
 
 
-def rare_probes(query_codes: DataFrame, ref_counts: DataFrame, group: list[str], containment: int) -> DataFrame:
-    """The rarest ``n - need + 1`` k-mers of each query that occur in the references at all."""
-    order = Window.partitionBy(*group, "id").orderBy(F.coalesce("df", F.lit(0)), "code")
+def rare_probes(shared: DataFrame, group: list[str], containment: int) -> DataFrame:
+    """The k-mers of each query that must be looked up.
+
+    ``shared(group, id, n_kmers, code, df)`` holds the query k-mers that some reference has.
+    Of ``p`` such k-mers a hit shares at least ``need``, so it shares one of any
+    ``p - need + 1``; the rarest are taken. K-mers no reference has never enter the sort.
+    """
+    mine = Window.partitionBy(*group, "id")
     return (
-        query_codes.join(ref_counts, [*group, "code"], "left")
-        .withColumn("_rank", F.row_number().over(order))
-        .filter((F.col("_rank") <= F.col("n_kmers") - needed("n_kmers", containment) + 1) & F.col("df").isNotNull())
+        shared.withColumn("_p", F.count(F.lit(1)).over(mine))
+        .withColumn("_rank", F.row_number().over(mine.orderBy("df", "code")))
+        .filter(F.col("_rank") <= F.col("_p") - needed("n_kmers", containment) + 1)
         .select(*group, "id", "code")
     )
 
@@ -130,12 +135,18 @@ def align_pairs(pairs: DataFrame, queries: DataFrame, refs: DataFrame, group: li
 
 def candidate_pairs(q: DataFrame, r: DataFrame, group: list[str], k: int, containment: int) -> DataFrame:
     """Distinct ``(group, q_id, r_id)`` that may share enough k-mers; complete, not yet exact."""
-    ref_codes = kmer_codes(r, group, k).drop("n_kmers")
-    counts = ref_codes.groupBy(*group, "code").agg(F.count(F.lit(1)).alias("df"))
-    probes = rare_probes(kmer_codes(q, group, k), counts, group, containment)
+    asked = kmer_codes(q, group, k)
+    # References keep only k-mers that are asked for; one shuffle by code serves this and the counts.
+    held = (
+        kmer_codes(r, group, k)
+        .drop("n_kmers")
+        .join(asked.select(*group, "code").distinct(), [*group, "code"], "left_semi")
+    )
+    counts = held.groupBy(*group, "code").agg(F.count(F.lit(1)).alias("df"))
+    probes = rare_probes(asked.join(counts, [*group, "code"]), group, containment)
     return (
         probes.withColumnRenamed("id", "q_id")
-        .join(ref_codes.withColumnRenamed("id", "r_id"), [*group, "code"])
+        .join(held.withColumnRenamed("id", "r_id"), [*group, "code"])
         .select(*group, "q_id", "r_id")
         .distinct()
     )
