@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from refpanel.workload import curation, scoring, sequences
+from refpanel.workload import curation, pipelines, scoring, sequences, texts
 
-_MODULES = (scoring, curation, sequences)
+_MODULES = (scoring, curation, sequences, texts, pipelines)
 
 
 def queries() -> dict:
