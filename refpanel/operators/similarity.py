@@ -50,11 +50,12 @@ def distinct_sequences(seqs: DataFrame, group: list[str], k: int) -> tuple[DataF
 def kmer_codes(seqs: DataFrame, group: list[str], k: int) -> DataFrame:
     """``(group, id, n_kmers, code)``: a 64-bit code of each distinct k-mer, without a shuffle.
 
+    The code covers the group too, so counting and joining need this one number as their key.
     Codes only propose pairs: two k-mers with one code can add a candidate but never lose one,
     and candidates are verified on the k-mers themselves.
     """
     each = seqs.select(*group, "id", "n_kmers", F.explode(F.array_distinct(kmers("seq", k))).alias("_kmer"))
-    return each.select(*group, "id", "n_kmers", F.xxhash64("_kmer").alias("code"))
+    return each.select(*group, "id", "n_kmers", F.xxhash64(*group, "_kmer").alias("code"))
 
 
 def seed_index(seqs: DataFrame, k: int) -> DataFrame:
@@ -136,14 +137,12 @@ def align_pairs(pairs: DataFrame, queries: DataFrame, refs: DataFrame, group: li
 def candidate_pairs(q: DataFrame, r: DataFrame, group: list[str], k: int, containment: int) -> DataFrame:
     """Distinct ``(group, q_id, r_id)`` that may share enough k-mers; complete, not yet exact."""
     asked = kmer_codes(q, group, k)
-    # References keep only k-mers that are asked for; one shuffle by code serves this and the counts.
-    held = (
-        kmer_codes(r, group, k)
-        .drop("n_kmers")
-        .join(asked.select(*group, "code").distinct(), [*group, "code"], "left_semi")
+    # References keep only k-mers that are asked for. That small rest is used twice, so it is written.
+    held = materialize(
+        kmer_codes(r, group, k).drop("n_kmers").join(asked.select("code"), "code", "left_semi")
     )
-    counts = held.groupBy(*group, "code").agg(F.count(F.lit(1)).alias("df"))
-    probes = rare_probes(asked.join(counts, [*group, "code"]), group, containment)
+    counts = held.groupBy("code").agg(F.count(F.lit(1)).alias("df"))
+    probes = rare_probes(asked.join(counts, "code"), group, containment)
     return (
         probes.withColumnRenamed("id", "q_id")
         .join(held.withColumnRenamed("id", "r_id"), [*group, "code"])
