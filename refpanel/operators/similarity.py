@@ -100,7 +100,7 @@ def align_pairs(pairs: DataFrame, queries: DataFrame, refs: DataFrame, group: li
 
     per_diagonal = (
         pairs.join(seeds(queries, "q"), [*group, "q_id"])
-        .join(seeds(refs, "r"), [*group, "r_id", "kmer"])
+        .join(seeds(refs, "r").hint("shuffle_hash"), [*group, "r_id", "kmer"])
         .groupBy(*group, "q_id", "r_id", (F.col("q_pos") - F.col("r_pos")).alias("diag"))
         .agg(F.count(F.lit(1)).alias("_n"), F.min("q_pos").alias("_lo"), F.max("q_pos").alias("_hi"))
     )
@@ -137,12 +137,14 @@ def align_pairs(pairs: DataFrame, queries: DataFrame, refs: DataFrame, group: li
 def candidate_pairs(q: DataFrame, r: DataFrame, group: list[str], k: int, containment: int) -> DataFrame:
     """Distinct ``(group, q_id, r_id)`` that may share enough k-mers; complete, not yet exact."""
     asked = kmer_codes(q, group, k)
+    # The hashed sides hold each code once, so a common k-mer does not swell them, and the long
+    # k-mer tables are streamed past them unsorted.
     # References keep only k-mers that are asked for. That small rest is used twice, so it is written.
     held = materialize(
-        kmer_codes(r, group, k).drop("n_kmers").join(asked.select("code"), "code", "left_semi")
+        kmer_codes(r, group, k).drop("n_kmers").join(asked.select("code").hint("shuffle_hash"), "code", "left_semi")
     )
     counts = held.groupBy("code").agg(F.count(F.lit(1)).alias("df"))
-    probes = rare_probes(asked.join(counts, "code"), group, containment)
+    probes = rare_probes(asked.join(counts.hint("shuffle_hash"), "code"), group, containment)
     return (
         probes.withColumnRenamed("id", "q_id")
         .join(held.withColumnRenamed("id", "r_id"), [*group, "code"])
