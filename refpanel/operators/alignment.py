@@ -6,12 +6,13 @@ count as gaps beyond their end, so no padding is stored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from refpanel.functions import residues
 from refpanel.operators.metrics import ratio
 from refpanel.operators.similarity import similarity_join
+from refpanel.session import inline_small
 
 GAP = "-"
 GAP_THRESHOLD = 0.8
@@ -48,7 +49,8 @@ def trim_alignment(alignment: DataFrame, families: DataFrame | None = None, defa
     # Nothing is kept beyond the last kept column, so neither mask nor rows go further.
     mask = flags.select("family", "_width", F.transform(F.slice("_f", 1, F.col("_width")), lambda f: f["keep"]).alias("_mask"))
     kept = F.zip_with(F.slice(residues("aligned"), 1, F.col("_width")), "_mask", lambda x, keep: F.when(keep, F.coalesce(x, F.lit(GAP))))
-    return alignment.join(mask, "family").select("family", "accession", F.array_join(kept, "").alias("trimmed"))
+    # One mask per family, size-checked: the rows keep their partitioning.
+    return alignment.join(inline_small(mask, 1000), "family").select("family", "accession", F.array_join(kept, "").alias("trimmed"))
 
 
 def build_profile(alignment: DataFrame, pseudocount: float = PSEUDOCOUNT) -> DataFrame:
@@ -59,14 +61,13 @@ def build_profile(alignment: DataFrame, pseudocount: float = PSEUDOCOUNT) -> Dat
     cells = _cells(alignment).filter(F.col("residue") != GAP)
     counts = cells.groupBy("family", "col", "residue").agg(F.count(F.lit(1)).alias("n"))
     depth = counts.groupBy("family", "col").agg(F.sum("n").alias("depth"))
-    per_residue = counts.groupBy("residue").agg(F.sum("n").alias("_r"))
-    total = counts.agg(F.sum("n").alias("t")).scalar()
-    share = F.col("_r").cast("double") / total
+    # As many rows as the alphabet has letters: read once, size-checked.
+    shares = inline_small(counts.groupBy("residue").agg(F.sum("n").alias("_r")))
+    shares = shares.select("residue", (F.col("_r").cast("double") / F.sum("_r").over(Window.partitionBy())).alias("bg"))
     odds = (F.col("n") + pseudocount * F.col("bg")) / (F.col("depth") + pseudocount) / F.col("bg")
     return (
         counts.join(depth, ["family", "col"])
-        .join(per_residue, "residue")
-        .withColumn("bg", share)
+        .join(shares, "residue")
         .select("family", "col", "residue", "n", "depth", F.log2(odds).alias("log_odds"))
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refpanel.operators.cumulative import running_totals
+from refpanel.session import inline_small
 
 NO_CALL = "NO_CALL"
 BACKGROUND = "background"
@@ -279,7 +280,8 @@ def cascade_config(
 
 def apply_cascade(calls: DataFrame, config: DataFrame, other_hits: DataFrame) -> DataFrame:
     """Keep a flagged family's call only when the other method scores that family high enough."""
-    flagged = config.filter(F.col("needs_check") == "yes").select("family", "short_read_threshold")
+    # At most one row per family: size-checked, so the calls are not shuffled by family.
+    flagged = inline_small(config.filter(F.col("needs_check") == "yes").select("family", "short_read_threshold"))
     second = (
         other_hits.groupBy("sample", "read_id", "family").agg(F.max("bitscore").alias("_second"))
     )

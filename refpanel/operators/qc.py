@@ -273,7 +273,7 @@ def fusion_screen(medians: DataFrame, min_ratio: float = 2.0) -> DataFrame:
 
 def median_stability(seqs: DataFrame, small: int, large: int, tolerance: float = 0.025, seed=42) -> DataFrame:
     """Median length of a small and a large capped sample, flagged when it moves more than ``tolerance``."""
-    groups = seqs.select("family", "label").distinct()
+    groups = inline_small(seqs.select("family", "label").distinct())
 
     def at(cap: int, name: str) -> DataFrame:
         sample = capped_sample(seqs, groups.withColumn("max_n", F.lit(cap)), seed)
