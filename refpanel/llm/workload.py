@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from refpanel.llm import decontaminate
+from refpanel.llm import decontaminate, pieces, token_count
 from refpanel.llm.common import table
 
 QUERIES = {}
@@ -16,6 +17,17 @@ def query(fn):
     return fn
 
 
+@query
+def op2_token_counts(spark, d):
+    return token_count.count_tokens(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op8_sentencepiece(spark, d):
+    found = pieces.encode(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op9_decontamination(spark, d):
     found = decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
