@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from refpanel.llm import decontaminate, pieces, quality_rules, token_count
+from refpanel.llm import decontaminate, near_dedup, pieces, quality_rules, token_count
 from refpanel.llm.common import table
 
 QUERIES = {}
@@ -22,6 +22,11 @@ def op2_token_counts(spark, d):
     return token_count.count_tokens(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op3_minmax_dedup(spark, d):
+    return near_dedup.near_duplicates(table(spark, d, "documents"))
+
+
 @query
 def op5_quality_rules(spark, d):
     return quality_rules.filter_quality(table(spark, d, "documents"))
