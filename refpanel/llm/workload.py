@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from refpanel.llm import decontaminate, near_dedup, pieces, quality_rules, token_count
+from refpanel.llm import decontaminate, near_dedup, pieces, quality_rules, token_count, toxicity
 from refpanel.llm.common import table
 
 QUERIES = {}
@@ -27,6 +27,12 @@ def op3_minmax_dedup(spark, d):
     return near_dedup.near_duplicates(table(spark, d, "documents"))
 
 
+@query
+def op4_toxicity(spark, d):
+    docs = table(spark, d, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, d, "labels")))
+
+
 @query
 def op5_quality_rules(spark, d):
     return quality_rules.filter_quality(table(spark, d, "documents"))
