@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from refpanel.llm import decontaminate, near_dedup, pieces, quality_rules, token_count, toxicity
+from refpanel.llm import decontaminate, near_dedup, pieces, quality_rank, quality_rules, token_count, toxicity
 from refpanel.llm.common import table
 
 QUERIES = {}
@@ -38,6 +38,12 @@ def op5_quality_rules(spark, d):
     return quality_rules.filter_quality(table(spark, d, "documents"))
 
 
+@query
+def op6_quality_rank(spark, d):
+    docs = table(spark, d, "documents")
+    return quality_rank.score(docs, quality_rank.fit(docs, table(spark, d, "labels")))
+
+
 @query
 def op8_sentencepiece(spark, d):
     found = pieces.encode(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
