@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from refpanel.llm import decontaminate, near_dedup, pieces, quality_rank, quality_rules, token_count, toxicity
+from refpanel.llm import decontaminate, near_dedup, pieces, quality_rank, quality_rules, sanitise, token_count, toxicity
 from refpanel.llm.common import table
 
 QUERIES = {}
@@ -55,3 +55,9 @@ def op9_decontamination(spark, d):
     found = decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated", F.size("near_items").cast("long").alias("n_near"))
+
+
+@query
+def op10_disclosure(spark, d):
+    found = sanitise.report(table(spark, d, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
