@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from refpanel.llm import decontaminate, near_dedup, pieces, quality_rank, quality_rules, sanitise, token_count, toxicity
+from refpanel.llm import decontaminate, near_dedup, ngram, pieces, quality_rank, quality_rules, sanitise, token_count, toxicity
 from refpanel.llm.common import table
 
 QUERIES = {}
@@ -17,6 +17,16 @@ def query(fn):
     return fn
 
 
+@query
+def op1_kneser_ney(spark, d):
+    docs = table(spark, d, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    model = ngram.train(docs.filter(F.coalesce(~held_out, F.lit(True))))
+    scores = ngram.score(docs, model)
+    columns = [F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"]
+    return scores.select("doc_id", *columns)
+
+
 @query
 def op2_token_counts(spark, d):
     return token_count.count_tokens(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
