@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from refpanel.llm import decontaminate, near_dedup, ngram, pieces, quality_rank, quality_rules, sanitise, token_count, toxicity
+from refpanel.llm import decontaminate, near_dedup, ngram, pieces, quality_rank, quality_rules, revisits, sanitise, token_count, toxicity
 from refpanel.llm.common import table
 
 QUERIES = {}
@@ -54,6 +54,62 @@ def op6_quality_rank(spark, d):
     return quality_rank.score(docs, quality_rank.fit(docs, table(spark, d, "labels")))
 
 
+def captures(spark, d):
+    """Pages as a crawl: each page is a capture of one of three resources of its folder, every
+    third of them not modified; times tie, validators change over time and sometimes are missing."""
+    page, url = F.col("page_id"), F.col("url")
+    number = F.regexp_extract(url, "/([0-9]+)", 1).cast("long") % 3
+    ts = (page * 7919) % 100003
+    revisit = page % 3 == 1
+    tag = F.concat(F.when(page % 5 == 0, "W/").otherwise(""), F.lit("v"), F.floor(ts / 20000).cast("string"))
+    date = F.concat(F.lit("d"), F.floor(ts / 30000).cast("string"))
+    headers = F.map_from_entries(
+        F.filter(
+            F.array(
+                F.when(page % 7 != 0, F.struct(F.lit("etag"), tag)),
+                F.when(page % 11 != 0, F.struct(F.lit("last-modified"), date)),
+                F.struct(F.lit("date"), ts.cast("string")),
+                F.struct(F.lit("content-length"), F.when(revisit, "0").otherwise(F.length("html").cast("string"))),
+            ),
+            lambda h: h.isNotNull(),
+        )
+    )
+    return table(spark, d, "pages").select(
+        page.alias("record_id"),
+        F.regexp_replace(url, "/[0-9]+(?:[.]html|/)?", F.concat(F.lit("/"), number.cast("string"))).alias("url"),
+        ts.alias("ts"),
+        F.when(revisit, "revisit").otherwise("response").alias("kind"),
+        F.when(revisit, 304).when(page % 13 == 0, 503).otherwise(200).alias("status"),
+        headers.alias("headers"),
+        F.when(~revisit, F.col("html")).alias("payload"),
+    )
+
+
+@query
+def op7_revisits(spark, d):
+    found = revisits.resolve(captures(spark, d))
+    shown = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda h: F.concat(h["key"], F.lit("="), h["value"]))), ";")
+    return found.select("record_id", "url", "source_id", "outcome", shown.alias("headers"), F.md5("payload").alias("payload_md5"))
+
+
+SQL["op7_revisits"] = """WITH c AS (
+  SELECT page_id AS id, regexp_replace(url, '/[0-9]+(?:[.]html|/)?', '/' || (CAST(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT) % 3)) AS raw,
+    (page_id * 7919) % 100003 AS ts, page_id % 3 = 1 AS revisit, CASE WHEN page_id % 3 = 1 THEN 304 WHEN page_id % 13 = 0 THEN 503 ELSE 200 END AS status,
+    CASE WHEN page_id % 7 <> 0 THEN (CASE WHEN page_id % 5 = 0 THEN 'W/' ELSE '' END) || 'v' || CAST(floor((page_id * 7919) % 100003 / 20000) AS BIGINT) END AS tag,
+    CASE WHEN page_id % 11 <> 0 THEN 'd' || CAST(floor((page_id * 7919) % 100003 / 30000) AS BIGINT) END AS changed, html FROM pages),
+u AS (SELECT *, replace(tag, 'W/', '') AS plain, regexp_replace(raw, '[?#].*', '') AS base,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(raw, '[?]([^#]*)', 1), '&'), lambda p: p <> '' AND NOT starts_with(p, 'utm_'))), '&') AS asked FROM c),
+n AS (SELECT *, base || CASE WHEN asked = '' THEN '' ELSE '?' || asked END AS url FROM u),
+f AS (SELECT * FROM n WHERE status = 200),
+m AS (SELECT r.id, max(struct_pack(t := f.ts, i := f.id)) AS got FROM n r JOIN f ON f.url = r.url AND (f.ts < r.ts OR f.ts = r.ts AND f.id < r.id) WHERE r.revisit GROUP BY r.id),
+j AS (SELECT r.id, r.url, r.ts, r.tag, r.changed, s.id AS sid, s.tag AS stag, s.changed AS schanged, s.html,
+    CASE WHEN s.id IS NULL THEN 'no_response' WHEN coalesce(r.plain = s.plain, r.plain IS NULL AND coalesce(r.changed = s.changed, r.changed IS NULL)) THEN 'resolved' ELSE 'changed' END AS outcome
+  FROM n r LEFT JOIN m ON m.id = r.id LEFT JOIN n s ON s.id = m.got.i WHERE r.revisit)
+SELECT id AS record_id, url, CASE WHEN outcome = 'resolved' THEN sid END AS source_id, outcome,
+  CASE WHEN outcome = 'resolved' THEN 'content-length=' || length(html) || ';date=' || ts || coalesce(';etag=' || coalesce(tag, stag), '') || coalesce(';last-modified=' || coalesce(changed, schanged), '') END AS headers,
+  CASE WHEN outcome = 'resolved' THEN md5(html) END AS payload_md5 FROM j"""
+
+
 @query
 def op8_sentencepiece(spark, d):
     found = pieces.encode(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
