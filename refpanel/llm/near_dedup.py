@@ -12,6 +12,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,9 @@ from refpanel.llm.components import components
 #: probability (1 - 0.8**5)**40, about 1e-7.
 PERMUTATIONS = 100
 BAND_ROWS = 5
+#: Documents of a block, and shingles of two blocks that are counted together.
+BLOCK = 256
+COLUMNS = 8192
 _ODD = np.random.default_rng(20240229).integers(0, 2**63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = np.random.default_rng(20240301).integers(0, 2**64, PERMUTATIONS, np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -115,13 +119,72 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", (100 * both >= percent * (F.size("sa") + F.size("sb") - both)).alias("linked"))
 
 
+def _compare(percent: int):
+    """Links between the documents of two blocks, or of one, that are not yet one component."""
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        left = pdf[pdf.side == 0].reset_index(drop=True)
+        right = pdf[pdf.side == 1].reset_index(drop=True) if (pdf.side == 1).any() else left
+        n = [np.array([len(x) for x in side.shingles]) for side in (left, right)]
+        flat = np.concatenate([*left.shingles, *right.shingles])
+        row = np.repeat(np.arange(len(left) + len(right)), np.concatenate(n))
+        _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = count[column] > 1
+        row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+        both = np.zeros((len(left), len(right)), np.float32)
+        order = np.argsort(column, kind="stable")
+        for lo in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+            mine = order[np.searchsorted(column[order], lo) : np.searchsorted(column[order], lo + COLUMNS)]
+            cells = np.zeros((len(left) + len(right), COLUMNS), np.float32)
+            cells[row[mine], column[mine] - lo] = 1
+            both += cells[: len(left)] @ cells[len(left) :].T
+        linked = 100 * both >= percent * (n[0][:, None] + n[1] - both)
+        linked &= left.comp.to_numpy()[:, None] != right.comp.to_numpy()
+        top, out = {}, []
+
+        def find(x):
+            while top.get(x, x) != x:
+                x = top[x]
+            return x
+
+        for i, j in np.argwhere(linked):  # a spanning set of the links is enough
+            u, v = find(left.comp[i]), find(right.comp[j])
+            if u != v:
+                top[max(u, v)] = min(u, v)
+                out.append((left.node[i], right.node[j]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return compare
+
+
+def _remaining(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members (key, node, comp) of a bucket that are of different components.
+
+    Members are put into blocks of about ``BLOCK``, those of one large bucket together; every two
+    blocks with a common bucket meet once, whole, so every proposed pair is compared while pairs
+    are neither rows of a table nor repeated for each bucket.
+    """
+    sizes = store(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    home = rows.join(sizes, "key").groupBy("node").agg(F.max(F.struct("n", "key")).alias("m"), F.first("comp").alias("comp"))
+    home = store(home.select("node", "comp", F.col("m.key").alias("label")), "home")
+    parts = home.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    block = F.struct("label", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"))
+    home = store(home.join(store(parts, "parts"), "label").select("node", "comp", F.xxhash64(block).alias("block")), "blocks")
+    held = store(rows.select("key", "node").join(home.select("node", "block"), "node").select("key", "block").distinct(), "held")
+    pairs = held.toDF("key", "one").join(held.toDF("key", "two"), "key").filter("one <= two").select("one", "two").distinct()
+    pairs = store(pairs, "block-pairs")
+    full = home.join(sets, "node")
+    sides = [(0, "one", pairs), (1, "two", pairs.filter("one <> two"))]
+    dealt = [p.join(full.withColumnRenamed("block", c), c).select("one", "two", F.lit(k).alias("side"), "node", "comp", "shingles") for k, c, p in sides]
+    return dealt[0].unionByName(dealt[1]).groupBy("one", "two").applyInPandas(_compare(percent), "a binary, b binary")
+
+
 def links(docs: DataFrame, signed: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(node, root): components of the nodes (distinct shingle sets) that some link touches.
 
-    In each round every bucket names hubs, and all its members of other components are compared
-    with them; a hub that has met its bucket leaves it, and a bucket whose members have become one
-    component is done. So a group of near copies takes about as many comparisons as it has
-    members, yet no proposed link between different components is left untested.
+    First every bucket names a hub and all its members are compared with that, which takes about
+    as many comparisons as members and makes one component of an ordinary group of copies. Buckets
+    that still hold several components are then compared exhaustively, in blocks.
     """
     nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     nodes = store(nodes, "nodes")
@@ -130,38 +193,18 @@ def links(docs: DataFrame, signed: DataFrame, width: int, percent: int, id_col:
     members = store(rows.join(shared, "key"), "members")
     wanted = nodes.join(store(members.select("node").distinct(), "wanted"), "node").select("id", "node")
     sets = store(shingle_sets(docs, wanted, width, id_col, text_col), "sets")
-    roots = tested = None
-    turn = 0
-    while True:
-        rows = members.withColumn("comp", F.col("node")) if roots is None else members.join(roots.withColumnRenamed("root", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        rows = store(rows, "members")
-        mixed = store(rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key"), "mixed")
-        if mixed.isEmpty():
-            return roots if roots is not None else store(members.select("node", F.col("node").alias("root")).limit(0), "roots")
-        rows = store(rows.join(mixed, "key"), "open")
-        lot = F.pmod(F.xxhash64("node"), F.lit(2**turn))
-        hubs = rows.groupBy("key", lot.alias("lot")).agg(F.min(F.struct("node", "n", "comp")).alias("h"))
-        hubs = store(hubs.select("key", F.col("h.node").alias("hub"), F.col("h.n").alias("hn"), F.col("h.comp").alias("hc")), "hubs")
-        alike = (100 * F.least("n", "hn") >= percent * F.greatest("n", "hn")) & (F.col("comp") != F.col("hc"))
-        pairs = rows.join(hubs, "key").filter(alike).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        checked = store(_confirmed(store(pairs, "pairs"), sets, percent), "checked")
-        refused = checked.filter("NOT linked").select("a", "b")
-        tested = refused if tested is None else tested.unionByName(refused)
-        new = checked.filter("linked").select("a", "b")
-        if roots is None:
-            roots = components(new)
-        else:
-            of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))  # noqa: E731, B023
-            lifted = new.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-            up = components(lifted)
-            tops = up.select(F.col("node").alias("root"), F.col("root").alias("top"))
-            old = roots.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-            roots = store(old.unionByName(up).distinct(), "roots")
-        met = hubs.select("key", F.col("hub").alias("node"))
-        members = store(rows.select("key", "node", "n").join(met, ["key", "node"], "left_anti"), "members")
-        turn += 1
+    hubs = members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("h"))
+    hubs = store(hubs.select("key", F.col("h.node").alias("hub"), F.col("h.n").alias("hn")), "hubs")
+    alike = (100 * F.least("n", "hn") >= percent * F.greatest("n", "hn")) & (F.col("node") != F.col("hub"))
+    pairs = store(members.join(hubs, "key").filter(alike).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    stars = components(_confirmed(pairs, sets, percent).filter("linked"))
+    rows = members.select("key", "node").join(stars.withColumnRenamed("root", "comp"), "node", "left")
+    rows = store(rows.withColumn("comp", F.coalesce("comp", "node")), "members")
+    mixed = store(rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key"), "mixed")
+    if mixed.isEmpty():
+        return stars
+    rest = store(_remaining(store(rows.join(mixed, "key"), "mixed"), sets, percent), "links")
+    return components(rest.unionByName(stars.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
