@@ -7,7 +7,9 @@ token of the prefix before it. Reading the table backwards yields the ids.
 
 from __future__ import annotations
 
+import math
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,6 +27,8 @@ from refpanel.llm.common import Cache
 SPACE = "▁"
 #: Longer parts of a text are encoded each time instead of kept.
 KEPT_CHARS = 64
+#: Parts kept at a time.
+KEPT_PARTS = 500_000
 
 
 class Pieces:
@@ -35,60 +39,88 @@ class Pieces:
         self.byte_value = {i: int(p[3:5], 16) for i, p in enumerate(self.text) if model.is_byte(i)}
         self.byte_id = {b: i for i, b in self.byte_value.items()}
         self.control = {i for i in range(len(self.text)) if model.is_control(i)}
-        special = self.control | set(self.byte_value) | {self.unknown}
+        self.other = self.control | set(self.byte_value)
+        special = self.other | {self.unknown}
         self.id = {p: i for i, p in enumerate(self.text) if i not in special}
         self.score = {p: model.get_score(i) for p, i in self.id.items()}
         inner = any(SPACE in p.lstrip(SPACE) for p in self.id)
         # Merges never cross from a letter to a space if no entry holds such a pair.
         self.part = re.compile(".+" if inner else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+", re.S)
-        self.pair = Cache(lambda ab: self._merge(self.text[ab[0]] + self.text[ab[1]]) == [self.text[ab[0]], self.text[ab[1]]])
+        self.pair = Cache(self._compatible)
+        self.size = [len(p) for p in self.text]
         self.automaton = ahocorasick.Automaton()
+        self.rank = dict.fromkeys(self.id.values(), float("-inf"))  # when merging forms an entry
+        self.halves: dict[int, tuple[int, int]] = {}
         for p, i in self.id.items():
-            if self._merge(p) == [p]:  # entries that merging can reach
+            steps = self._merge(p)
+            if steps[-1] == [p]:  # entries that merging can reach
                 self.automaton.add_word(p, (len(p), i))
+                if len(p) > 1:
+                    self.rank[i], self.halves[i] = -self.score[p], (self.id[steps[-2][0]], self.id[steps[-2][1]])
         self.automaton.make_automaton()
         self.cache = Cache(self._part)
 
-    def _merge(self, text: str) -> list[str]:
-        """Plain merging of a short string: best score first, leftmost among equals."""
-        parts = list(text)
+    def _merge(self, text: str) -> list[list[str]]:
+        """Plain merging of a short string, best score first, leftmost among equals: all steps."""
+        steps = [list(text)]
         while True:
+            parts = steps[-1]
             best = max(((self.score[a + b], -k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.score), default=None)
             if best is None:
-                return parts
+                return steps
             k = -best[1]
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            steps.append([*parts[:k], parts[k] + parts[k + 1], *parts[k + 2 :]])
+
+    def _compatible(self, pair: int) -> bool:
+        """Whether two entries (packed) stay apart when they stand next to each other.
+
+        Their merges are undone, the last one first; what then meets at the border must have no
+        merge that would have come before the one undone (on a tie, the left one comes first).
+        """
+        left, right = pair >> 32, pair & 0xFFFFFFFF
+        text, rank, halves, limit = self.text, self.rank, self.halves, float("inf")
+        while True:
+            joined = self.score.get(text[left] + text[right])
+            if joined is not None and -joined < limit:
+                return False
+            a, b = rank[left], rank[right]
+            if a > b:
+                left, limit = halves[left][1], a
+            elif b > float("-inf"):
+                right, limit = halves[right][0], math.nextafter(b, float("inf"))
+            else:
+                return True
 
     def prefix_table(self, text: str) -> list[int]:
         """Last token of each prefix, from length 1 on; -1 for a character without an entry."""
-        last = [-1] * len(text)
-        pair = self.pair
-        matches = self.automaton.iter(text)
-        end, found = next(matches, (len(text), None))
-        for at in range(len(text)):
-            while end == at:
-                start = at - found[0]
-                if last[at] < 0 and (start < 0 or last[start] < 0 or pair[last[start], found[1]]):
-                    last[at] = found[1]
-                end, found = next(matches, (len(text), None))
+        last, pair = [-1] * len(text), self.pair
+        for end, (size, entry) in self.automaton.iter(text):
+            if last[end] < 0:
+                before = last[end - size] if end >= size else -1
+                if before < 0 or pair[before << 32 | entry]:
+                    last[end] = entry
         return last
 
     def _part(self, part: str) -> tuple[bytes, int, str]:
         """Ids (packed), their number and the decoded text of one part."""
-        last, at, ids = self.prefix_table(part), len(part) - 1, []
+        last, at, ids, sizes = self.prefix_table(part), len(part) - 1, [], self.size
         while at >= 0:  # backwards
-            if last[at] >= 0:
-                ids.append(last[at])
-                at -= len(self.text[last[at]])
+            entry = last[at]
+            if entry >= 0:
+                ids.append(entry)
+                at -= sizes[entry]
             else:
                 data = part[at].encode()
                 ids.extend(self.byte_id.get(b, self.unknown) for b in reversed(data)) if self.byte_id else ids.append(self.unknown)
                 at -= 1
         ids.reverse()
-        return np.array(ids, "<u4").tobytes(), len(ids), self.decode(ids, strip=False)
+        return struct.pack(f"<{len(ids)}I", *ids), len(ids), self.decode(ids, strip=False)
 
     def decode(self, ids: list[int], strip: bool = True) -> str:
         """Text of ids: byte entries join to UTF-8, control entries vanish, the first space goes."""
+        if not self.other.intersection(ids):
+            text = "".join(map(self.text.__getitem__, ids)).replace(SPACE, " ")
+            return text[1:] if strip and text.startswith(" ") else text
         out, data = [], bytearray()
         for i in ids:
             if i in self.byte_value:
@@ -105,14 +137,14 @@ class Pieces:
 
     def encode(self, text: str) -> tuple[bytes, int, str]:
         """Packed ids with begin and end, their number, decoded text."""
-        head, tail = np.array([self.begin], "<u4").tobytes(), np.array([self.end], "<u4").tobytes()
+        head, tail = struct.pack("<I", self.begin), struct.pack("<I", self.end)
         if not text:
             return head + tail, 2, ""
         cache = self.cache
         done = [cache[p] if len(p) <= KEPT_CHARS else self._part(p) for p in self.part.findall(SPACE + text.replace(" ", SPACE))]
-        cache.trim(300_000)
-        decoded = "".join([x[2] for x in done])
-        return head + b"".join([x[0] for x in done]) + tail, 2 + sum([x[1] for x in done]), decoded[1:]
+        cache.trim(KEPT_PARTS)
+        ids, sizes, decoded = zip(*done)
+        return head + b"".join(ids) + tail, 2 + sum(sizes), "".join(decoded)[1:]
 
 
 @lru_cache(maxsize=2)
