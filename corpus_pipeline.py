@@ -1,26 +1,67 @@
-"""Training-data pipeline over ``documents``: the stages in order, each written and read again."""
+"""Training-data pipeline over ``documents``: the stages in order, each written and read again.
+
+All but the last stage return the columns of ``documents``; a document id names a document, so
+rows that repeat an id share its fate. Empty tables go through every stage.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refpanel.llm import decontaminate
-from refpanel.llm.common import store, table
+from refpanel.llm import decontaminate, near_dedup, pieces, sanitise, toxicity
+from refpanel.llm.common import ship_code, store, table
 
-#: SQL cannot express the toxicity model, the min-max hashes or the tokenizer.
+#: SQL cannot express the toxicity model, the min-max hashes or the tokenizer; the tests compare
+#: the stages with plain versions.
 ORACLE_SQL = None
 
 
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is not among the ids of ``dropped``."""
+    gone = store(dropped.select(F.col("doc_id").alias("_gone")).distinct(), "dropped")
+    return docs.join(gone, docs.doc_id.eqNullSafe(gone._gone), "left_anti")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored as toxic go."""
+    ship_code(spark)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return _without(docs, toxicity.score(docs, model).filter("predicted = 1"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one with the smallest id."""
+    ship_code(spark)
+    return _without(docs, near_dedup.near_duplicates(docs).filter("NOT kept"))
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which test windows cover 5 % or more go."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.filter("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs.doc_id.eqNullSafe(bad._bad), "left_anti")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), slop=0)
+    return _without(docs, found.filter("contaminated"))
+
+
+def sanitise_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and terms that disclose it are replaced; ``n_chars`` follows the text."""
+    done = sanitise.sanitise(docs)
+    return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of what is left, with the digest of the text they decode to."""
+    ship_code(spark)
+    found = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("near-duplicates", drop_near_duplicates),
     ("decontamination", drop_contaminated),
+    ("personal-data", sanitise_texts),
+    ("encoding", encode_texts),
 ]
 
 

@@ -107,7 +107,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, te
                 nodes, arrays = zip(*found) if found else ((), ())
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(arrays, pa.list_(pa.int64()))], schema.names)
 
-    rows = _rows(docs, id_col, text_col).join(wanted, "id").select("_text", "node")
+    rows = _rows(docs, id_col, text_col).join(wanted.withColumnRenamed("id", "_id"), F.col("id").eqNullSafe(F.col("_id"))).select("_text", "node")
     return rows.mapInArrow(sets, schema)
 
 
