@@ -31,6 +31,9 @@ BLOCK_TOKENS = 1_500_000
 END, BEGIN_ID, UNKNOWN_ID = b"\n", -1, -2
 #: Count of the n-gram; as a context: total count, contexts' followers seen once, twice, more often.
 VALUES = ("a", "s", "n1", "n2", "n3")
+#: Counts of the highest order, the largest table by far, take four bytes (exact to 2**24).
+TOP = ("c",)
+TYPES = {"c": np.float32, **dict.fromkeys(["bin", "a", "s", "1", "2", "3"], np.int64)}
 
 
 def hash_ids(columns: list[np.ndarray]) -> np.ndarray:
@@ -70,7 +73,7 @@ class Shards:
         if shard not in self.maps:
             self.maps[shard] = np.memmap(f"{self.folder}/{self.name}-{shard}.bin", np.int64, "r", shape=(self.rows[shard],))
             for c in self.columns:
-                self.maps[shard, c] = np.memmap(f"{self.folder}/{self.name}-{shard}.{c}", np.int32 if c == "a" else np.int64, "r", shape=(self.rows[shard],))
+                self.maps[shard, c] = np.memmap(f"{self.folder}/{self.name}-{shard}.{c}", TYPES[c[-1]], "r", shape=(self.rows[shard],))
         return self.maps[shard]
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
@@ -78,7 +81,7 @@ class Shards:
         unique, back = np.unique(keys, return_inverse=True)
         shard = unique % len(self.rows)
         order = np.argsort(shard, kind="stable")
-        at, values = np.full(len(unique), -1, np.int64), {c: np.zeros(len(unique), np.int64) for c in self.columns}
+        at, values = np.full(len(unique), -1, np.int64), {c: np.zeros(len(unique), TYPES[c[-1]]) for c in self.columns}
         bounds = np.searchsorted(shard[order], np.arange(len(self.rows) + 1))
         for k in np.flatnonzero(np.diff(bounds)):
             if not self.rows[k]:
@@ -110,13 +113,14 @@ def _write(rows: DataFrame, folder: str, name: str, words: list[str], columns: t
         paths = {c: f"{folder}/{name}-{shard}.{c}" for c in ("bin", *columns)}
         files = {c: open(f"{p}.{mark}", "wb") for c, p in paths.items()}
         total, counts, held = 0, np.zeros(5, np.int64), None
+        source = lambda c: "a" if c == "c" else c
 
         def put(block: dict[str, np.ndarray]):
             nonlocal total
             total += len(block["key"])
             files["bin"].write(block["key"].astype(np.int64).tobytes())
             for c in columns:
-                files[c].write(block[c].astype(np.int32 if c == "a" else np.int64).tobytes())
+                files[c].write(block[source(c)].astype(TYPES[c[-1]]).tobytes())
             a = block["a"]
             counts[:] += np.bincount(np.minimum(a, 5), minlength=6)[1:6] if len(a) else 0
             if lower and len(a):
@@ -129,13 +133,13 @@ def _write(rows: DataFrame, folder: str, name: str, words: list[str], columns: t
             return None
 
         for batch in batches:
-            block = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", *words, *columns)}
+            block = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", *words, *map(source, columns))}
             if held:
                 block = {c: np.concatenate([held[c], block[c]]) for c in block}
             starts = np.flatnonzero(np.concatenate([[True], np.diff(block["key"]) != 0])) if len(block["key"]) else np.empty(0, int)
             if not len(starts):
                 continue
-            merged = {c: np.add.reduceat(block[c], starts) if c in columns else block[c][starts] for c in block}
+            merged = {c: np.add.reduceat(block[c], starts) if c in VALUES else block[c][starts] for c in block}
             held = {c: v[-1:] for c, v in merged.items()}  # may go on in the next batch
             partial = put({c: v[:-1] for c, v in merged.items()})
             if partial:
@@ -167,13 +171,15 @@ def _summed(grams: list[np.ndarray], sums: list[np.ndarray]) -> list[np.ndarray]
 
 
 def _close(folder: str, name: str, shards: int) -> tuple[int, np.ndarray]:
-    """Notes the rows of each shard beside the files; returns all rows and the counts of counts."""
-    rows, counts = [], np.zeros(5, np.int64)
+    """Notes the rows of each shard beside the files; returns all rows and the counts of counts.
+
+    Spark runs no task for a shard without rows, or for none at all if there is no row."""
+    rows, counts = [0] * shards, np.zeros(5, np.int64)
     for k in range(shards):
-        with open(f"{folder}/{name}-{k}.json") as f:
-            n, c = json.load(f)
-        rows.append(n)
-        counts += c
+        if os.path.exists(path := f"{folder}/{name}-{k}.json"):
+            with open(path) as f:
+                rows[k], c = json.load(f)
+            counts += c
     with open(f"{folder}/{name}.json", "w") as f:
         json.dump(rows, f)
     return sum(rows), counts
@@ -261,7 +267,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2, folder: str |
     rows = texts.mapInArrow(grams, ", ".join(f"{c} long" for c in [*names, "a"]))
     for k in range(order, 0, -1):
         mine = names[order - k :]
-        columns = VALUES if k < order else ("a",)
+        columns = VALUES if k < order else TOP
         rows = _write(rows, folder, f"order{k}", mine, columns, shards, k > 1, F.xxhash64(*mine))
     rows.agg(F.sum("rows")).collect()
     closed = [_close(folder, f"order{k}", shards)[1] for k in range(1, order + 1)]
@@ -276,12 +282,14 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2, folder: str |
 def _totals(folder: str, order: int):
     """Sums over the shards: training tokens, unigram counts and how many are 1, 2 or more."""
 
+    last = "c" if order == 1 else "a"
+    read = lambda p: np.fromfile(p, TYPES[p[-1]]) if os.path.exists(p) else np.zeros(1, np.int64)
+
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in batch.column(0).to_pylist():
-                c = np.fromfile(f"{folder}/words-{k}.a", np.int32)
-                a = np.fromfile(f"{folder}/order1-{k}.a", np.int32)
-                row = [int(c.sum(dtype=np.int64)), int(a.sum(dtype=np.int64)), int((a == 1).sum()), int((a == 2).sum()), int((a > 2).sum())]
+                c, a = read(f"{folder}/words-{k}.a"), read(f"{folder}/order1-{k}.{last}")
+                row = [int(c.sum()), int(a.sum()), int((a == 1).sum()), int((a == 2).sum()), int((a > 2).sum())]
                 yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in row], ["tokens", "total", "n1", "n2", "n3"])
 
     return sums
@@ -293,8 +301,8 @@ def probabilities(model: Model, rows: np.ndarray) -> np.ndarray:
     p = np.full(rows.shape[1], model.unigram_free / (model.types + 1))
     for k in range(1, model.order + 1):
         mine = rows[model.order - k :]
-        columns = VALUES if k < model.order else ("a",)
-        a = open_shards(model.folder, f"order{k}", columns).find(hash_ids(list(mine)))[1]["a"]
+        columns = VALUES if k < model.order else TOP
+        a = open_shards(model.folder, f"order{k}", columns).find(hash_ids(list(mine)))[1][columns[0]]
         d = model.discount[k - 1]
         if k == 1:
             p = p + take(a, d) / max(model.unigram_total, 1)
