@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from refpanel.functions import residues
 from refpanel.operators.metrics import ratio
 from refpanel.operators.similarity import similarity_join
-from refpanel.session import inline_small
+from refpanel.session import materialize
 
 GAP = "-"
 GAP_THRESHOLD = 0.8
@@ -49,8 +49,8 @@ def trim_alignment(alignment: DataFrame, families: DataFrame | None = None, defa
     # Nothing is kept beyond the last kept column, so neither mask nor rows go further.
     mask = flags.select("family", "_width", F.transform(F.slice("_f", 1, F.col("_width")), lambda f: f["keep"]).alias("_mask"))
     kept = F.zip_with(F.slice(residues("aligned"), 1, F.col("_width")), "_mask", lambda x, keep: F.when(keep, F.coalesce(x, F.lit(GAP))))
-    # One mask per family, size-checked: the rows keep their partitioning.
-    return alignment.join(inline_small(mask, 1000), "family").select("family", "accession", F.array_join(kept, "").alias("trimmed"))
+    # One mask per family: stored, so the plan knows its size and the rows keep their partitioning.
+    return alignment.join(materialize(mask), "family").select("family", "accession", F.array_join(kept, "").alias("trimmed"))
 
 
 def build_profile(alignment: DataFrame, pseudocount: float = PSEUDOCOUNT) -> DataFrame:
@@ -59,14 +59,15 @@ def build_profile(alignment: DataFrame, pseudocount: float = PSEUDOCOUNT) -> Dat
     ``alignment(family, accession, aligned)``, normally trimmed.
     """
     cells = _cells(alignment).filter(F.col("residue") != GAP)
-    counts = cells.groupBy("family", "col", "residue").agg(F.count(F.lit(1)).alias("n"))
-    depth = counts.groupBy("family", "col").agg(F.sum("n").alias("depth"))
-    # As many rows as the alphabet has letters: read once, size-checked.
-    shares = inline_small(counts.groupBy("residue").agg(F.sum("n").alias("_r")))
+    # The cells are counted once; everything else reads the counts.
+    counts = materialize(cells.groupBy("family", "col", "residue").agg(F.count(F.lit(1)).alias("n")))
+    depth = Window.partitionBy("family", "col")  # as many rows as the alphabet has letters
+    # As many rows as the alphabet has letters.
+    shares = materialize(counts.groupBy("residue").agg(F.sum("n").alias("_r")))
     shares = shares.select("residue", (F.col("_r").cast("double") / F.sum("_r").over(Window.partitionBy())).alias("bg"))
     odds = (F.col("n") + pseudocount * F.col("bg")) / (F.col("depth") + pseudocount) / F.col("bg")
     return (
-        counts.join(depth, ["family", "col"])
+        counts.withColumn("depth", F.sum("n").over(depth))
         .join(shares, "residue")
         .select("family", "col", "residue", "n", "depth", F.log2(odds).alias("log_odds"))
     )
@@ -82,7 +83,7 @@ def residue_columns(alignment: DataFrame) -> DataFrame:
     )
 
 
-def profile_scan(queries: DataFrame, alignment: DataFrame, profile: DataFrame, k: int = 5, containment: int = 50) -> DataFrame:
+def profile_scan(queries: DataFrame, alignment: DataFrame, profile: DataFrame, k: int = 5, containment: int | None = None) -> DataFrame:
     """Score of each query against each family's profile on its best seeded diagonal.
 
     The query's best train member of a family gives the diagonal; every query residue of the
@@ -90,7 +91,7 @@ def profile_scan(queries: DataFrame, alignment: DataFrame, profile: DataFrame, k
     or residues the profile does not hold add nothing.
     """
     members = alignment.select("family", "accession", F.replace("aligned", F.lit(GAP), F.lit("")).alias("seq"))
-    hits = similarity_join(queries.select("accession", "seq"), members, k, containment, same_family=False)
+    hits = similarity_join(queries.select("accession", "seq"), members, k, containment=containment, same_family=False)
     spans = hits.join(queries.select("accession", "seq"), "accession").select(
         "accession",
         "family",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refpanel.operators.cumulative import running_totals
-from refpanel.session import inline_small
+from refpanel.session import materialize
 
 NO_CALL = "NO_CALL"
 BACKGROUND = "background"
@@ -31,20 +31,24 @@ def f1_of(tp, fp, fn) -> Column:
 
 
 def filter_hits(hits: DataFrame, min_identity: float = 0.40, min_qcov: float = 0.50, min_scov: float = 0.0) -> DataFrame:
-    """Hits with at least the given identity, query cover and subject cover (all inclusive)."""
-    return hits.filter(
-        (F.col("pident") >= min_identity) & (F.col("qcov") >= min_qcov) & (F.col("scov") >= min_scov)
-    )
+    """Hits with at least the given identity, query cover and subject cover (fractions, inclusive).
+
+    A value that a truncated row lacks passes a bound of 0 and no other.
+    """
+    bounds = {"pident": min_identity, "qcov": min_qcov, "scov": min_scov}
+    reached = [F.coalesce(F.col(c) >= bound, F.lit(bound <= 0)) for c, bound in bounds.items()]
+    return hits.filter(reached[0] & reached[1] & reached[2])
 
 
 def best_hit(hits: DataFrame, keys: tuple[str, ...] = ("method", "sample", "read_id")) -> DataFrame:
     """One hit per read: highest bitscore, then family, then subject id, then the other columns.
 
+    A hit without a score is taken only where the read has no other.
     ``min`` over an ordered struct, so each map task already reduces its reads; no window.
     """
     rest = [c for c in hits.columns if c not in {*keys, "bitscore", "family", "subject_id"}]
     lead = [c for c in ("family", "subject_id") if c in hits.columns]
-    order = F.struct((-F.col("bitscore")).alias("_neg"), *lead, *rest)
+    order = F.struct(F.col("bitscore").isNull().alias("_none"), (-F.col("bitscore")).alias("_neg"), *lead, *rest)
     top = hits.groupBy(*keys).agg(F.min(order).alias("_top"))
     return top.select(*keys, *[F.col(f"_top.{c}").alias(c) for c in (*lead, *rest)], (-F.col("_top._neg")).alias("bitscore"))
 
@@ -280,8 +284,8 @@ def cascade_config(
 
 def apply_cascade(calls: DataFrame, config: DataFrame, other_hits: DataFrame) -> DataFrame:
     """Keep a flagged family's call only when the other method scores that family high enough."""
-    # At most one row per family: size-checked, so the calls are not shuffled by family.
-    flagged = inline_small(config.filter(F.col("needs_check") == "yes").select("family", "short_read_threshold"))
+    # At most one row per family: stored, so the plan knows its size and the calls stay in place.
+    flagged = materialize(config.filter(F.col("needs_check") == "yes").select("family", "short_read_threshold"))
     second = (
         other_hits.groupBy("sample", "read_id", "family").agg(F.max("bitscore").alias("_second"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from refpanel.functions import extra_id
 from refpanel.operators.metrics import ratio
 from refpanel.operators.select import capped_sample, fusion_pairs
-from refpanel.session import inline_small
+from refpanel.session import materialize
 
 PURITY_THRESHOLD = 70.0
 LENGTH_RATIO = 1.5
@@ -122,8 +122,8 @@ def length_outliers(
             F.when(F.col("label") == "positive", F.col("median_length") + F.col("_partner")).alias("_fused"),
         )
     )
-    # One row per family and label: read once, size-checked, then joined without moving the sequences.
-    rows = rows.join(inline_small(limits), ["family", "label"], "left")
+    # One row per family and label: stored, so the plan knows how small it is and the sequences stay.
+    rows = rows.join(materialize(limits), ["family", "label"], "left")
 
     def inside(center):
         return (F.col("length") >= F.col(center) / F.col("max_ratio")) & (F.col("length") <= F.col(center) * F.col("max_ratio"))
@@ -161,7 +161,7 @@ def length_manifest(classified: DataFrame) -> DataFrame:
 
 def domain_fractions(positives: DataFrame, domains: DataFrame, max_ratio: float = LENGTH_RATIO) -> DataFrame:
     """Share of each family's typical-length positives that carry each domain."""
-    medians = inline_small(family_medians(positives, min_sequences=1).select("family", "label", "median_length"))
+    medians = materialize(family_medians(positives, min_sequences=1).select("family", "label", "median_length"))
     typical = positives.join(medians, ["family", "label"]).filter(
         (F.col("length") >= F.col("median_length") / max_ratio) & (F.col("length") <= F.col("median_length") * max_ratio)
     )
@@ -273,7 +273,7 @@ def fusion_screen(medians: DataFrame, min_ratio: float = 2.0) -> DataFrame:
 
 def median_stability(seqs: DataFrame, small: int, large: int, tolerance: float = 0.025, seed=42) -> DataFrame:
     """Median length of a small and a large capped sample, flagged when it moves more than ``tolerance``."""
-    groups = inline_small(seqs.select("family", "label").distinct())
+    groups = materialize(seqs.select("family", "label").distinct())
 
     def at(cap: int, name: str) -> DataFrame:
         sample = capped_sample(seqs, groups.withColumn("max_n", F.lit(cap)), seed)

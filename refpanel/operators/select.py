@@ -48,15 +48,18 @@ def select_sequences(catalogue: DataFrame, families: DataFrame, label: str) -> D
     wanted = wanted.select("family", "_term", *rules)
     offered = catalogue.withColumn("_term", F.explode(F.array_distinct(_terms("gene_names", "domains"))))
     blank = F.array().cast("array<string>")
-    keep = F.col("taxonomy_id").isNull() | F.array_contains("lineage", F.col("taxonomy_id"))
+    # A row without gene names or domains is a row with none: unnamed loci are usual negatives.
+    genes, domains = F.coalesce("gene_names", blank), F.coalesce("domains", blank)
+    inside = F.array_contains(F.coalesce("lineage", F.array().cast("array<int>")), F.col("taxonomy_id"))
+    keep = F.col("taxonomy_id").isNull() | inside
     if label == "negative":
         marker = F.col("fusion_partner").isNotNull() & F.col("fusion_marker").isNotNull()
         keep = (
             keep
-            & (_none("neg_genes") | F.arrays_overlap("gene_names", F.coalesce("neg_genes", blank)))
-            & ~F.arrays_overlap("gene_names", F.coalesce("exclude_genes", blank))
-            & ~F.arrays_overlap("domains", F.coalesce("exclude_pfam", blank))
-            & ~F.when(marker, F.array_contains("domains", F.col("fusion_marker"))).otherwise(F.lit(False))
+            & (_none("neg_genes") | F.arrays_overlap(genes, F.coalesce("neg_genes", blank)))
+            & ~F.arrays_overlap(genes, F.coalesce("exclude_genes", blank))
+            & ~F.arrays_overlap(domains, F.coalesce("exclude_pfam", blank))
+            & ~F.when(marker, F.array_contains(domains, F.col("fusion_marker"))).otherwise(F.lit(False))
         )
     return (
         offered.join(wanted, "_term")
@@ -75,7 +78,6 @@ def capped_sample(seqs: DataFrame, caps: DataFrame, seed=42) -> DataFrame:
     the family meets in one task, so that task sees at most ``SALTS * candidates`` rows.
     """
     keyed = seqs.join(caps.select("family", "label", "max_n"), ["family", "label"], "left")
-    free = keyed.filter(F.col("max_n").isNull())
     n_cand = F.ceil(F.col("max_n") * OVERSAMPLE / PAGE) * PAGE
     group = ["family", "label"]
     rows = keyed.filter(F.col("max_n").isNotNull()).select(*group, "accession", "max_n").withColumn(
@@ -94,8 +96,8 @@ def capped_sample(seqs: DataFrame, caps: DataFrame, seed=42) -> DataFrame:
         .filter(F.col("_rn") <= F.col("max_n"))
         .select(*group, "accession")
     )
-    kept = keyed.filter(F.col("max_n").isNotNull()).join(picked, [*group, "accession"], "left_semi")
-    return free.unionByName(kept).select(*seqs.columns)
+    drawn_keys = picked.distinct().withColumn("_drawn", F.lit(True))
+    return keyed.join(drawn_keys, [*group, "accession"], "left").filter("max_n IS NULL OR _drawn").select(*seqs.columns)
 
 
 def fetch_manifest(seqs: DataFrame) -> DataFrame:
@@ -130,7 +132,7 @@ def shared_models(families: DataFrame) -> DataFrame:
 
 def check_unique_models(families: DataFrame) -> None:
     """Raise when two families claim the same curated model."""
-    bad = shared_models(families).limit(20).collect()
+    bad = shared_models(families).collect()  # at most as many rows as the config
     if bad:
         raise ValueError("curated model shared by families: " + "; ".join(f"{r.curated_model}: {r.families}" for r in bad))
 

@@ -1,7 +1,8 @@
 """Similarity search between sequence tables by shared k-mers and ungapped diagonals.
 
-A hit is a pair that shares at least ``containment`` percent of the query's distinct k-mers.
-Such a pair must share one of the query's ``n - need + 1`` rarest k-mers (the prefix-filter
+A hit is a pair that shares at least ``containment`` percent of the query's distinct k-mers. The
+default is what the asked identity guarantees, and one shared k-mer where none is asked, so the
+percentage speeds a search up but never decides it. Such a pair must share one of the query's ``n - need + 1`` rarest k-mers (the prefix-filter
 principle of set-similarity joins), so only those are looked up: a k-mer common to a third of
 the references comes last in that order and is normally never probed, yet no pair is lost.
 Identical sequences are searched once and share the result.
@@ -27,6 +28,12 @@ def needed(n, containment: int) -> Column:
     return F.greatest(F.lit(1), F.floor((n * containment + 99) / 100).cast("int"))
 
 
+def guaranteed(identity: float, k: int) -> int:
+    """Percent of its k-mers that a sequence surely shares at an identity (0 to 1): every mismatch
+    takes ``k`` of them away. At least 1, which any shared k-mer meets up to 100 k-mers."""
+    return max(1, int(100 * (1 - k * (1 - identity)) + 1e-9))
+
+
 def bitscore(matches: Column, mismatches: Column) -> Column:
     raw = matches * MATCH + mismatches * MISMATCH
     return (raw * LAMBDA - math.log(KAPPA)) / math.log(2.0)
@@ -85,8 +92,8 @@ def rare_probes(shared: DataFrame, group: list[str], containment: int) -> DataFr
     )
 
 
-def align_pairs(pairs: DataFrame, queries: DataFrame, refs: DataFrame, group: list[str], k: int) -> DataFrame:
-    """Best diagonal and identity of given pairs ``(group, q_id, r_id)``.
+def align_pairs(pairs: DataFrame | None, queries: DataFrame, refs: DataFrame, group: list[str], k: int) -> DataFrame:
+    """Best diagonal and identity of given pairs ``(group, q_id, r_id)``, or of all that share a k-mer.
 
     Seeds are first positions of shared k-mers; the diagonal (query minus reference position)
     with most seeds wins, the lowest on a tie. Residues are then compared along the seeded span
@@ -94,14 +101,18 @@ def align_pairs(pairs: DataFrame, queries: DataFrame, refs: DataFrame, group: li
     """
 
     def seeds(seqs: DataFrame, side: str) -> DataFrame:
-        used = pairs.select(*group, F.col(f"{side}_id").alias("id")).distinct()
-        pos = seqs.join(used, [*group, "id"], "left_semi").select(*group, "id", F.posexplode(kmers("seq", k)).alias("_p", "kmer"))
+        if pairs is not None:
+            used = pairs.select(*group, F.col(f"{side}_id").alias("id")).distinct()
+            seqs = seqs.join(used, [*group, "id"], "left_semi")
+        pos = seqs.select(*group, "id", F.posexplode(kmers("seq", k)).alias("_p", "kmer"))
         return pos.groupBy(*group, "id", "kmer").agg(F.min("_p").alias(f"{side}_pos")).withColumnRenamed("id", f"{side}_id")
 
+    if pairs is None:
+        shared = seeds(queries, "q").join(seeds(refs, "r"), [*group, "kmer"])
+    else:
+        shared = pairs.join(seeds(queries, "q"), [*group, "q_id"]).join(seeds(refs, "r"), [*group, "r_id", "kmer"])
     per_diagonal = (
-        pairs.join(seeds(queries, "q"), [*group, "q_id"])
-        .join(seeds(refs, "r").hint("shuffle_hash"), [*group, "r_id", "kmer"])
-        .groupBy(*group, "q_id", "r_id", (F.col("q_pos") - F.col("r_pos")).alias("diag"))
+        shared.groupBy(*group, "q_id", "r_id", (F.col("q_pos") - F.col("r_pos")).alias("diag"))
         .agg(F.count(F.lit(1)).alias("_n"), F.min("q_pos").alias("_lo"), F.max("q_pos").alias("_hi"))
     )
     best = per_diagonal.groupBy(*group, "q_id", "r_id").agg(
@@ -137,14 +148,12 @@ def align_pairs(pairs: DataFrame, queries: DataFrame, refs: DataFrame, group: li
 def candidate_pairs(q: DataFrame, r: DataFrame, group: list[str], k: int, containment: int) -> DataFrame:
     """Distinct ``(group, q_id, r_id)`` that may share enough k-mers; complete, not yet exact."""
     asked = kmer_codes(q, group, k)
-    # The hashed sides hold each code once, so a common k-mer does not swell them, and the long
-    # k-mer tables are streamed past them unsorted.
     # References keep only k-mers that are asked for. That small rest is used twice, so it is written.
     held = materialize(
-        kmer_codes(r, group, k).drop("n_kmers").join(asked.select("code").hint("shuffle_hash"), "code", "left_semi")
+        kmer_codes(r, group, k).drop("n_kmers").join(asked.select("code"), "code", "left_semi")
     )
     counts = held.groupBy("code").agg(F.count(F.lit(1)).alias("df"))
-    probes = rare_probes(asked.join(counts.hint("shuffle_hash"), "code"), group, containment)
+    probes = rare_probes(asked.join(counts, "code"), group, containment)
     return (
         probes.withColumnRenamed("id", "q_id")
         .join(held.withColumnRenamed("id", "r_id"), [*group, "code"])
@@ -154,7 +163,12 @@ def candidate_pairs(q: DataFrame, r: DataFrame, group: list[str], k: int, contai
 
 
 def similarity_join(
-    queries: DataFrame, refs: DataFrame, k: int = 5, containment: int = 50, same_family: bool = True
+    queries: DataFrame,
+    refs: DataFrame,
+    k: int = 5,
+    min_identity: float | None = None,
+    containment: int | None = None,
+    same_family: bool = True,
 ) -> DataFrame:
     """Best reference of each query, with identity, coverages and bitscore.
 
@@ -162,7 +176,16 @@ def similarity_join(
     a query meets references of its own family and gets its best one; otherwise it meets all
     and gets the best of each reference family. Ties go to the lowest accession. The result has
     at most one row per query and reference family, whatever the number of copies.
+
+    ``min_identity`` (a fraction) says that hits below it are of no interest; they may then be
+    missing, all others are found. Without it every reference that shares a k-mer is compared.
+    An explicit ``containment`` makes that share of the query's k-mers a condition of a hit.
     """
+    if containment is None:
+        containment = 1 if min_identity is None else guaranteed(min_identity, k)
+        exact = containment == 1
+    else:
+        exact = False
     if same_family:
         group = ["family"]
         q, members = distinct_sequences(queries, group, k)
@@ -172,8 +195,11 @@ def similarity_join(
         q, members = distinct_sequences(queries.select("accession", "seq"), group, k)
         r, _ = distinct_sequences(refs.select("family", "accession", "seq"), ["family"], k)
         r = r.withColumn("id", F.struct("family", "id")).drop("family")
-    pairs = materialize(candidate_pairs(q, r, group, k, containment))
-    hits = align_pairs(pairs, q, r, group, k).filter(F.col("shared") >= needed("n_kmers", containment))
+    if exact:
+        hits = align_pairs(None, q, r, group, k)
+    else:
+        pairs = materialize(candidate_pairs(q, r, group, k, containment))
+        hits = align_pairs(pairs, q, r, group, k).filter(F.col("shared") >= needed("n_kmers", containment))
     if same_family:
         hits = hits.withColumnRenamed("r_id", "subject_id")
     else:

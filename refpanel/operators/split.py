@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from refpanel.functions import genus_of, seeded_key
 from refpanel.operators.cumulative import nth_digest
-from refpanel.session import inline_small
+from refpanel.session import materialize
 
 MIN_SEQUENCES = 5
 TEST_FRACTION = 0.2
@@ -28,7 +28,7 @@ def split_random(seqs: DataFrame, fraction: float = TEST_FRACTION, seed=42, min_
         keyed, ["family", "label"], "_key", lambda n: F.when(n >= min_sequences, _target(n, fraction)), "_cut"
     )
     return (
-        keyed.join(inline_small(cut), ["family", "label"])
+        keyed.join(materialize(cut), ["family", "label"])
         .withColumn("split", F.when(F.col("_key") <= F.col("_cut"), "test").otherwise("train"))
         .select(*seqs.columns, "split")
     )
@@ -56,7 +56,7 @@ def held_out_genera(seqs: DataFrame, fraction: float = TEST_FRACTION, seed=42, m
 
 def split_by_genus(seqs: DataFrame, fraction: float = TEST_FRACTION, seed=42, min_sequences: int = MIN_SEQUENCES) -> DataFrame:
     """Add ``split`` by whole genera; a group with one genus is split at random."""
-    genera = inline_small(
+    genera = materialize(
         held_out_genera(seqs, fraction, seed, min_sequences).select("family", "label", "genus", "n_genera", "held_out")
     )
     tagged = seqs.withColumn("genus", genus_of("organism")).join(genera, ["family", "label", "genus"])

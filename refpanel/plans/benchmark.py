@@ -11,10 +11,10 @@ from refpanel.operators.similarity import similarity_join
 from refpanel.session import materialize
 
 
-def search_reads(reads: DataFrame, refs: DataFrame, sample: str = "all", k: int = 5, containment: int = 30, min_aa: int = 32) -> DataFrame:
+def search_reads(reads: DataFrame, refs: DataFrame, sample: str = "all", k: int = 5, min_identity: float | None = None, min_aa: int = 32) -> DataFrame:
     """Hits of translated reads on protein references, one per read, family and reading frame's best ORF."""
     orfs = translate_orfs(reads.select("read_id", "seq"), min_aa)
-    found = similarity_join(orfs.select(F.col("orf_id").alias("accession"), F.col("aa").alias("seq")), refs, k, containment, same_family=False)
+    found = similarity_join(orfs.select(F.col("orf_id").alias("accession"), F.col("aa").alias("seq")), refs, k, min_identity, same_family=False)
     return (
         found.join(orfs.select(F.col("orf_id").alias("accession"), "read_id"), "accession")
         .select(

@@ -45,11 +45,10 @@ def build_release(
     extra: DataFrame | None = None,
     alignment: DataFrame | None = None,
     max_positive: int | None = None,
-    max_negative: int = 1000,
+    max_negative: int | None = None,
     split_mode: str = "random",
     seed=42,
     k: int = 5,
-    containment: int = 50,
     min_identity: float = 0.90,
     use_domains: bool = True,
 ) -> Release:
@@ -66,14 +65,14 @@ def build_release(
         select.select_sequences(catalogue, families, "negative")
     )
     caps = families.select("family", F.lit("positive").alias("label"), F.coalesce("max_positive", F.lit(max_positive).cast("int")).alias("max_n")).unionByName(
-        families.select("family", F.lit("negative").alias("label"), F.coalesce("max_negative", F.lit(max_negative)).alias("max_n"))
+        families.select("family", F.lit("negative").alias("label"), F.coalesce("max_negative", F.lit(max_negative).cast("int")).alias("max_n"))
     )
     columns = ["family", "label", "accession", "organism", "seq"]
     raw = materialize(select.capped_sample(chosen, caps, seed).select(*columns).withColumn("length", F.length("seq")))
 
     negatives = raw.filter("label = 'negative'")
     positives = raw.filter("label = 'positive'")
-    hits = similarity.similarity_join(negatives, positives, k, containment)
+    hits = similarity.similarity_join(negatives, positives, k, qc.PURITY_THRESHOLD / 100)
     checked = materialize(qc.negative_purity(negatives, hits))
     pure = positives.unionByName(checked.filter("not flagged").select(*raw.columns))
 
@@ -84,7 +83,7 @@ def build_release(
     if extra is not None:
         added, manifest = qc.add_extra_positives(kept.filter("label = 'positive'"), extra)
         kept = kept.unionByName(added.select(*raw.columns))
-    clusters = cluster_greedy(kept, min_identity, k, containment)
+    clusters = cluster_greedy(kept, min_identity, k)
     unique = kept.join(
         clusters.filter("accession = representative").select("family", "label", "accession"), ["family", "label", "accession"], "left_semi"
     )
@@ -100,7 +99,7 @@ def build_release(
     )
 
     queries = parts.filter("label = 'positive' and split = 'test'").unionByName(parts.filter("label = 'negative'")).select("family", "label", "accession", "seq")
-    found = similarity.similarity_join(queries.select("family", "accession", "seq"), searchable, k, containment)
+    found = similarity.similarity_join(queries.select("family", "accession", "seq"), searchable, k)
     scores = calibrate.restricted_best(
         queries.select("family", "label", F.col("accession").alias("query_id")),
         found.select("family", F.col("accession").alias("query_id"), "bitscore"),

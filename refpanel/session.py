@@ -1,13 +1,14 @@
-"""Session helpers: cutting lineage in the shared folder and inlining small tables."""
+"""Session helpers: cutting lineage in the shared folder and small local tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-
-SMALL_TABLE_ROWS = 10_000
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -37,14 +38,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def inline_small(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """Evaluate ``df`` once; if it has at most ``max_rows`` rows, return it as a local relation.
+def local_table(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """Rows at hand as a local relation.
 
-    A local relation has a known size, so Catalyst broadcasts it by itself and the other
-    side of the join keeps its partitioning. A bigger table is returned as it came, for
-    Catalyst to join by shuffle. At most ``max_rows + 1`` rows reach the driver.
+    Made from Arrow data, because a plan then knows the size of the table and joins with it by
+    broadcast on its own; rows given as Python objects would count as unboundedly large.
     """
-    head = df.limit(max_rows + 1).collect()
-    if len(head) > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(head, df.schema)
+    columns = list(zip(*rows)) or [()] * len(schema)
+    table = pa.Table.from_arrays([pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, schema)], schema.names)
+    return spark.createDataFrame(table, schema)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from refpanel.session import local_table
+
 _LIST = T.ArrayType(T.StringType())
 FAMILY_SCHEMA = T.StructType(
     [
@@ -49,7 +51,7 @@ def families_table(spark: SparkSession, entries: list[dict]) -> DataFrame:
             if isinstance(field.dataType, T.DoubleType) and value is not None:
                 entry[field.name] = float(value)
         rows.append(tuple(entry.get(f.name) for f in FAMILY_SCHEMA))
-    return spark.createDataFrame(rows, FAMILY_SCHEMA)
+    return local_table(spark, rows, FAMILY_SCHEMA)
 
 
 def load_families(spark: SparkSession, path: str) -> DataFrame:

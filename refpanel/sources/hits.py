@@ -15,6 +15,8 @@ def read_hits_tsv(spark: SparkSession, path, suffix: str = ".blastx.tsv") -> Dat
     """Hits of headerless 8-column files; missing trailing columns are null, empty files give no rows.
 
     The sample is the file name without ``suffix``; the family is the subject up to its first ``|``.
+    Identity and covers stand in the file as percent and are returned as fractions, the unit of all
+    hit tables here.
     """
     raw = spark.read.schema(HIT_COLUMNS).csv(path, sep="\t", mode="PERMISSIVE", enforceSchema=True)
     name = F.regexp_extract("_metadata.file_name", "^(.*?)" + suffix.replace(".", "\\.") + "$", 1)
@@ -24,7 +26,7 @@ def read_hits_tsv(spark: SparkSession, path, suffix: str = ".blastx.tsv") -> Dat
         F.col("qseqid").alias("read_id"),
         F.col("sseqid").alias("subject_id"),
         read_family("sseqid").alias("family"),
-        "pident", "qcov", "scov",
+        *[(F.col(c) / 100).alias(c) for c in ("pident", "qcov", "scov")],
         F.col("length").alias("aln_length"),
         "evalue", "bitscore",
     )

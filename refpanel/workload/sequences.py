@@ -16,7 +16,6 @@ from refpanel.workload import standins as s
 SQL: dict[str, str] = {}
 QUERIES = {}
 K = 16
-CONTAINMENT = 50
 
 
 def query(name: str, sql: str | None = None):
@@ -71,7 +70,7 @@ bd AS (SELECT family, qid, rid, CAST(sum(n) AS BIGINT) AS shared, arg_min({{'n':
 al AS (SELECT bd.family, qid, rid, shared, b.n AS seeds, b.diag AS diag, b.lo AS q_start, b.hi - b.lo + {K} AS span, length(qd.seq) AS q_len, length(rd.seq) AS r_len,
     string_split(substr(qd.seq, b.lo + 1, b.hi - b.lo + {K}), '') AS qa, string_split(substr(rd.seq, b.lo - b.diag + 1, b.hi - b.lo + {K}), '') AS ra
   FROM bd JOIN nq ON nq.id = qid {'AND nq.family = bd.family' if same_family else ''} JOIN qd ON qd.id = qid {'AND qd.family = bd.family' if same_family else ''}
-  JOIN rd ON rd.id = rid AND rd.family = bd.family WHERE shared >= greatest(1, (n_kmers * {CONTAINMENT} + 99) // 100)),
+  JOIN rd ON rd.id = rid AND rd.family = bd.family),
 hit AS (SELECT *, len(list_filter(list_zip(qa, ra), lambda x: x[1] = x[2])) AS matches FROM al),
 sc AS (SELECT *, {_BITS} AS bitscore FROM hit),
 top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY family, qid ORDER BY bitscore DESC, rid) AS rn FROM sc) WHERE rn = 1),
@@ -93,7 +92,7 @@ _ITEMS = "items AS (SELECT CAST(item_id AS VARCHAR) AS accession, text AS seq FR
 @query("similarity_join", f"WITH {s.DOC_SEQS}, {_ITEMS}, {similarity_sql('items', 'seqs', False)} SELECT * FROM sim")
 def similarity_join(spark, d):
     docs = s.doc_sequences(spark, d).select("family", "accession", "seq")
-    return sim.similarity_join(_items(spark, d), docs, K, CONTAINMENT, same_family=False).select(*_SIM_COLUMNS)
+    return sim.similarity_join(_items(spark, d), docs, K, same_family=False).select(*_SIM_COLUMNS)
 
 
 _PURITY = f"""WITH {s.DOC_SEQS}, negs AS (SELECT family, accession, seq FROM seqs WHERE label = 'negative'), poss AS (SELECT family, accession, seq FROM seqs WHERE label = 'positive'),
@@ -104,7 +103,7 @@ checked AS (SELECT n.family, n.accession, coalesce(pident, 0.0) AS max_pident, c
 def _checked(spark, d):
     seqs = s.doc_sequences(spark, d).select("family", "label", "accession", "seq")
     negatives = seqs.filter("label = 'negative'")
-    hits = sim.similarity_join(negatives, seqs.filter("label = 'positive'"), K, CONTAINMENT)
+    hits = sim.similarity_join(negatives, seqs.filter("label = 'positive'"), K, qc.PURITY_THRESHOLD / 100)
     return qc.negative_purity(negatives, hits)
 
 
@@ -120,7 +119,7 @@ def purity_manifest(spark, d):
 
 @query("cluster_greedy")
 def cluster(spark, d):
-    return cluster_greedy(s.doc_sequences(spark, d), k=K, containment=CONTAINMENT)
+    return cluster_greedy(s.doc_sequences(spark, d), k=K)
 
 
 # --- alignments ----------------------------------------------------------------------------
@@ -166,7 +165,7 @@ FROM mp JOIN prof p ON p.family = mp.family AND p.col = mp.col AND p.residue = m
 def profile_scan(spark, d):
     rows = s.alignment(spark, d)
     queries = _items(spark, d).withColumn("seq", F.replace(F.replace("seq", F.lit(" "), F.lit("")), F.lit("-"), F.lit("")))
-    return aln.profile_scan(queries, rows, aln.build_profile(rows), K, CONTAINMENT).withColumn("score", F.round("score", 6))
+    return aln.profile_scan(queries, rows, aln.build_profile(rows), K).withColumn("score", F.round("score", 6))
 
 
 # --- reads ---------------------------------------------------------------------------------

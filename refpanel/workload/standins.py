@@ -33,10 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents. A file with fewer splits than cores (small test data) is spread over them."""
-    docs = table(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(cores)
+    return table(spark, sf_dir, "documents")
 
 
 def _literal(value) -> str:

@@ -37,7 +37,7 @@ def fastq_scan(spark, d):
     rows = s.table(spark, d, "conversations").select(name.alias("n"), F.concat(F.lit("A"), seq).alias("s"))
     # Quality signs start with @ or + in turn, the two that could be taken for another line.
     sign = F.when(F.length("s") % 2 == 0, "@").otherwise("+")
-    text = F.concat_ws("\n", "n", "s", F.lit("+"), F.concat(sign, F.substring(F.repeat(F.lit("I"), 100000), F.lit(1), F.length("s") - 1)))
+    text = F.concat_ws("\n", "n", "s", F.lit("+"), F.concat(sign, F.repeat(F.lit("I"), F.length("s") - 1)))
     rows.select(text.alias("value")).write.text(path)
     return sources.read_fastq(spark, path).select("read_id", "read_length", F.md5("seq").alias("digest"))
 
@@ -46,7 +46,7 @@ def hits_scan(spark, d):
     """Line items written as headerless hit files and scanned back."""
     path = _folder(spark)
     hits = s.hits(spark, d).filter("method = 'search'")
-    rows = hits.select("read_id", F.concat("family", F.lit("|"), "subject_id"), "pident", "qcov", "scov", F.lit(50), F.lit(0.001), "bitscore")
+    rows = hits.select("read_id", F.concat("family", F.lit("|"), "subject_id"), *[F.col(c) * 100 for c in ("pident", "qcov", "scov")], F.lit(50), F.lit(0.001), "bitscore")
     rows.write.csv(path, sep="\t")
     return sources.read_hits_tsv(spark, path).select("read_id", "subject_id", "family", "pident", "qcov", "scov", "bitscore")
 
@@ -85,7 +85,7 @@ _DNA = f"translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{s.DNA_FROM}
 SQL["fasta_roundtrip"] = """SELECT lang || '|' || doc_id || '|' || source AS header, CAST(length(z) AS INTEGER) AS n, md5(z) AS digest
 FROM (SELECT *, regexp_replace(lower(text), '[^a-z]', '', 'g') AS z FROM documents)"""
 SQL["fastq_scan"] = f"SELECT 't' || conv_id || '_' || turn AS read_id, CAST(length(z) AS INTEGER) AS read_length, md5(z) AS digest FROM (SELECT *, 'A' || {_DNA} AS z FROM conversations)"
-SQL["hits_scan"] = f"WITH {s.HITS} SELECT read_id, family || '|' || subject_id AS subject_id, family, pident, qcov, scov, bitscore FROM hits WHERE method = 'search'"
+SQL["hits_scan"] = f"WITH {s.HITS} SELECT read_id, family || '|' || subject_id AS subject_id, family, (pident * 100) / 100 AS pident, (qcov * 100) / 100 AS qcov, (scov * 100) / 100 AS scov, bitscore FROM hits WHERE method = 'search'"
 SQL["tblout_scan"] = "SELECT l_orderkey || '/1' AS read_id, 'fam' || l_suppkey AS family, l_extendedprice AS bitscore FROM lineitem"
 SQL["manifest_scan"] = "SELECT CAST(p_partkey AS VARCHAR) AS accession, replace(p_name, ' ', ',') AS domains FROM part"
 SQL["release_partitions"] = "SELECT s_suppkey, 3 AS n, 'v1' AS release FROM supplier"
