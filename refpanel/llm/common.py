@@ -6,6 +6,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -49,6 +50,19 @@ def store(df: DataFrame, kind: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """While it holds, Spark deletes the shuffle files of each query as it ends, not when the driver
+    happens to collect its garbage; for chains of stored tables, which never read them again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 class Cache(dict):
     """``cache[key]`` computes and keeps ``fn(key)``; emptied by ``trim`` when it has grown."""
 

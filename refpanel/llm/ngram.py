@@ -23,10 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from refpanel.llm.common import LOWER, hash_cache, shared_folder, texts_of
+from refpanel.llm.common import LOWER, hash_cache, shared_folder, shuffles_removed, store, texts_of
 
-#: Tokens counted or scored together.
-BLOCK_TOKENS = 1_500_000
+#: Tokens looked up or scored together.
+BLOCK_TOKENS = 300_000
+#: Rows added up in a task before they are shuffled.
+SUM_ROWS = 4_000_000
 #: Neither can be a word: words hold no white space.
 END, BEGIN_ID, UNKNOWN_ID = b"\n", -1, -2
 #: Count of the n-gram; as a context: total count, contexts' followers seen once, twice, more often.
@@ -114,6 +116,12 @@ def _write(rows: DataFrame, folder: str, name: str, words: list[str], columns: t
         files = {c: open(f"{p}.{mark}", "wb") for c, p in paths.items()}
         total, counts, held = 0, np.zeros(5, np.int64), None
         source = lambda c: "a" if c == "c" else c
+        kept: list[list[np.ndarray]] = []
+
+        def partial() -> pa.RecordBatch:
+            columns = [np.concatenate(x) for x in zip(*kept)]
+            kept.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(columns[: len(below)], columns[len(below) :])], out)
 
         def put(block: dict[str, np.ndarray]):
             nonlocal total
@@ -129,8 +137,7 @@ def _write(rows: DataFrame, folder: str, name: str, words: list[str], columns: t
                 last = [np.zeros(len(a), np.int64), a, a == 1, a == 2, a > 2]
                 grams = [np.concatenate([block[w], block[v]]) for w, v in zip(below, words[:-1])]
                 sums = [np.concatenate([f, x]).astype(np.int64) for f, x in zip(first, last)]
-                return _summed(grams, sums)
-            return None
+                kept.append(_summed(grams, sums))
 
         for batch in batches:
             block = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", *words, *map(source, columns))}
@@ -141,12 +148,13 @@ def _write(rows: DataFrame, folder: str, name: str, words: list[str], columns: t
                 continue
             merged = {c: np.add.reduceat(block[c], starts) if c in VALUES else block[c][starts] for c in block}
             held = {c: v[-1:] for c, v in merged.items()}  # may go on in the next batch
-            partial = put({c: v[:-1] for c, v in merged.items()})
-            if partial:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in partial], out)
-        partial = put(held) if held else None
-        if partial:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in partial], out)
+            put({c: v[:-1] for c, v in merged.items()})
+            if sum(len(x[-1]) for x in kept) > SUM_ROWS:
+                yield partial()
+        if held:
+            put(held)
+        if kept:
+            yield partial()
         for c, f in files.items():
             f.close()
             os.replace(f.name, paths[c])
@@ -223,6 +231,18 @@ def _blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[li
         yield sizes, tokens
 
 
+def _gathered(blocks: Iterator[tuple[np.ndarray, ...]]) -> Iterator[list[np.ndarray]]:
+    """Blocks of parallel arrays joined up to ``SUM_ROWS``."""
+    kept: list[tuple[np.ndarray, ...]] = []
+    for block in blocks:
+        kept.append(block)
+        if sum(len(x[0]) for x in kept) > SUM_ROWS:
+            yield [np.concatenate(x) for x in zip(*kept)]
+            kept = []
+    if kept:
+        yield [np.concatenate(x) for x in zip(*kept)]
+
+
 def _padded(ids: np.ndarray, sizes: list[int], order: int) -> np.ndarray:
     """Rows of ``order`` ids, the last one the token, the first ones what precedes it in its text."""
     n, pad = np.array(sizes), order - 1
@@ -238,6 +258,11 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2, folder: str |
     Lower-cases A-Z; tokens are the words between white space and one end for each text. Null
     texts count as empty. No rows give a model that knows nothing.
     """
+    with shuffles_removed(docs.sparkSession):
+        return _train(docs, text_col, order, folder)
+
+
+def _train(docs: DataFrame, text_col: str, order: int, folder: str | None) -> Model:
     spark = docs.sparkSession
     folder = mounted(folder or shared_folder(spark, "ngram"))
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -245,8 +270,8 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2, folder: str |
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = hash_cache()
-        for _, tokens in _blocks(batches, "_text"):
-            found, n = np.unique(np.fromiter(map(cache.__getitem__, tokens), np.uint64, len(tokens)).view(np.int64), return_counts=True)
+        for blocks in _gathered((np.fromiter(map(cache.__getitem__, t), np.uint64, len(t)).view(np.int64),) for _, t in _blocks(batches, "_text")):
+            found, n = np.unique(blocks[0], return_counts=True)
             cache.trim()
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["w1", "a"])
 
@@ -257,19 +282,22 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2, folder: str |
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, known = hash_cache(), open_shards(folder, "words", ("a",))
-        for sizes, tokens in _blocks(batches, "_text"):
-            ids, _ = known.find(np.fromiter(map(cache.__getitem__, tokens), np.uint64, len(tokens)).view(np.int64))
-            cache.trim()
-            rows = _padded(ids, sizes, order)
-            out = _summed(list(rows), [np.ones(len(ids), np.int64)])
+
+        def read():
+            for sizes, tokens in _blocks(batches, "_text"):
+                ids, _ = known.find(np.fromiter(map(cache.__getitem__, tokens), np.uint64, len(tokens)).view(np.int64))
+                cache.trim()
+                yield tuple(_padded(ids, sizes, order))
+
+        for rows in _gathered(read()):
+            out = _summed(rows, [np.ones(len(rows[0]), np.int64)])
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], [*names, "a"])
 
     rows = texts.mapInArrow(grams, ", ".join(f"{c} long" for c in [*names, "a"]))
     for k in range(order, 0, -1):
         mine = names[order - k :]
         columns = VALUES if k < order else TOP
-        rows = _write(rows, folder, f"order{k}", mine, columns, shards, k > 1, F.xxhash64(*mine))
-    rows.agg(F.sum("rows")).collect()
+        rows = store(_write(rows, folder, f"order{k}", mine, columns, shards, k > 1, F.xxhash64(*mine)), "counts")
     closed = [_close(folder, f"order{k}", shards)[1] for k in range(1, order + 1)]
     discount = tuple(discounts(c) for c in closed)
     sums = spark.createDataFrame([(k,) for k in range(shards)], "shard int").repartition(shards).mapInArrow(_totals(folder, order), "tokens long, total long, n1 long, n2 long, n3 long")
