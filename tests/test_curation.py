@@ -94,3 +94,22 @@ def test_decoys_fused_and_assembly(spark):
     assert {r.accession for r in everything.collect()} == {"p1", "n1", "f1", "f2", "f3"}
     report = {r.check: r.n for r in split.leakage_report(parts, everything, parts.filter("split = 'test' and label = 'negative'")).collect()}
     assert set(report.values()) == {0}
+
+
+def test_unnamed_rows_are_selected_as_negatives(spark):
+    """No gene names or domains is as good as an empty list; only the anchor decides."""
+    fam = families_table(spark, [dict(name="a", pos_genes=["x"], neg_pfam=["D"], exclude_genes=["x"], exclude_pfam=["E"], fusion_partner="b", fusion_marker="F")])
+    rows = [("1", None, ["D"], [2]), ("2", ["y"], ["D"], [2]), ("3", ["x"], ["D"], None), ("4", ["y"], ["D", "F"], None), ("5", None, None, None), ("6", ["x"], None, None)]
+    cat = spark.createDataFrame(rows, "accession string, gene_names array<string>, domains array<string>, lineage array<int>")
+    assert {r.accession for r in sel.select_sequences(cat, fam, "negative").collect()} == {"1", "2"}
+    assert {r.accession for r in sel.select_sequences(cat, fam, "positive").collect()} == {"3", "6"}
+
+
+def test_small_tables_are_broadcast(spark):
+    """Config and per-family results have known sizes: the sequences are not dealt by family."""
+    fam = families_table(spark, [dict(name=f) for f in "abc"])
+    assert "LocalRelation" in fam._jdf.queryExecution().optimizedPlan().toString()
+    seqs = spark.range(200_000).selectExpr("element_at(array('a', 'b', 'c'), cast(id % 3 AS int) + 1) AS family", "'positive' AS label", "cast(id AS string) AS accession", "'o' AS organism", "repeat('A', 40) AS seq", "40 AS length")
+    for df in (sel.apply_scope(seqs, fam, "profile"), split.split_random(seqs), seqs.join(fam.select("family", "trim_gt"), "family")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning(family" not in plan

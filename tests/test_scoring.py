@@ -135,3 +135,21 @@ def test_scorecard_flags_strictly_above_a_tenth(spark):
     cut = spark.createDataFrame([("a", 1.0, "clean_separation"), ("b", 1.0, "pfam_ga_clean")], "family string, cutoff double, status string")
     got = {r.family: (r.review_needed, r.review_reasons) for r in qc_scorecard(fam, purity, lengths, cut).collect()}
     assert got == {"a": ("yes", "pos_length=12%"), "b": ("yes", "neg_purity=11%;hmm_status=pfam_ga_clean"), "c": ("no", "")}
+
+
+def test_hits_without_score_or_cover(spark):
+    """A truncated hit never beats a scored one, and passes only bounds of 0."""
+    hits = [("search", "s", "r1", "p1", "A", None), ("search", "s", "r1", "p2", "B", 50.0), ("search", "s", "r2", "p3", "A", None)]
+    got = {r.read_id: (r.family, r.bitscore) for r in m.best_hit(spark.createDataFrame(hits, HITS)).collect()}
+    assert got == {"r1": ("B", 50.0), "r2": ("A", None)}
+    rows = [("full", 0.9, 0.8, 0.7), ("low", 0.12, 0.03, 0.5), ("cut", 0.9, 0.8, None), ("bare", None, 0.8, 0.7)]
+    df = spark.createDataFrame(rows, "id string, pident double, qcov double, scov double")
+    assert {r.id for r in m.filter_hits(df).collect()} == {"full", "cut"}
+    assert {r.id for r in m.filter_hits(df, 0.0, 0.5, 0.1).collect()} == {"full", "bare"}
+
+
+def test_cascade_joins_do_not_move_the_calls(spark):
+    calls = spark.range(100_000).selectExpr("'s' AS sample", "cast(id AS string) AS read_id", "cast(id % 3 AS string) AS family", "1.0D AS bitscore")
+    config = spark.createDataFrame([("1", 0.5, "yes", 2.0)], "family string, precision double, needs_check string, short_read_threshold double")
+    plan = m.apply_cascade(calls, config, calls)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(family" not in plan

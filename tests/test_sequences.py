@@ -135,3 +135,33 @@ def test_alignment_trim_and_profile(spark):
     assert {r.accession: r.trimmed for r in aln.trim_alignment(df, default_gt=0.6).collect()} == {"a": "ACD", "b": "AC-", "c": "A-D"}
     profile = {(r.family, r.col, r.residue): (r.n, r.depth) for r in aln.build_profile(df).collect()}
     assert profile["f", 1, "C"] == (2, 2) and profile["f", 0, "A"] == (3, 3) and ("f", 2, "-") not in profile
+
+
+def test_location_compares_characters_as_they_are(spark):
+    """Wildcards in a read match only themselves, and most reads may come from one long contig."""
+    rng = random.Random(6)
+    contig = "".join(rng.choice("ACGT") for _ in range(200_000))
+    contig = contig[:500] + "N*.A" + contig[504:]
+    df = spark.createDataFrame([("big", "f", "positive", "a", contig), ("small", "f", "positive", "b", "A" * 700)], CONTIG)
+    cuts = [(f"r{i}", "big", contig[p : p + 80], p) for i, p in enumerate(rng.sample(range(1000, 199_000), 200))]
+    cuts.append(("wild", "big", contig[490:560], 490))
+    reads = [c[:3] for c in cuts] + [("dot", "big", "." * 60), ("star", "big", "*" * 60), ("long", "small", "A" * 800), ("none", "big", None)]
+    got = {r.read_id: r.start for r in rd.locate_reads(spark.createDataFrame(reads, "read_id string, contig_id string, seq string"), df).collect()}
+    assert got == {c[0]: c[3] for c in cuts}
+
+
+def test_similar_pairs_are_found_at_any_identity(spark):
+    """Negatives at 70 to 85 % identity are all found; the k-mer share is no condition."""
+    rng = random.Random(8)
+    base = "".join(rng.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(300))
+    queries = []
+    for i in range(40):
+        seq = list(base)
+        for p in rng.sample(range(300), rng.randint(45, 90)):
+            seq[p] = rng.choice("ACDEFGHIKLMNPQRSTVWY")
+        queries.append(("f", f"q{i}", "".join(seq)))
+    frame = lambda rows: spark.createDataFrame(rows, "family string, accession string, seq string")
+    refs = frame([("f", "base", base)])
+    seeded = {a for _, a, s in queries if any(s[p : p + 5] in base for p in range(296))}
+    assert {r.accession for r in similarity_join(frame(queries), refs).collect()} == seeded
+    assert {r.accession for r in similarity_join(frame(queries), refs, min_identity=0.7).collect()} == seeded

@@ -65,3 +65,16 @@ def test_families_config(spark, tmp_path):
         sources.subset_families(got, ["a", "zz"])
     with pytest.raises(ValueError, match="PF1: a,b"):
         check_unique_models(got)
+
+
+def test_fastq_keeps_empty_reads(spark, tmp_path):
+    text = "@e0\n\n+\n\n@r1\nAC\n+\n@I\n@e1 x\n\n+\n\n@e2\n\n+\n\n@r2\nG\n+\n@\n"
+    (tmp_path / "z_R1.fastq").write_text(text)
+    got = sources.read_fastq(spark, str(tmp_path))
+    assert rows(got, "read_id", "seq", "read_length") == [("e0", "", 0), ("e1", "", 0), ("e2", "", 0), ("r1", "AC", 2), ("r2", "G", 1)]
+
+
+def test_hit_files_are_in_percent(spark, tmp_path):
+    (tmp_path / "s.blastx.tsv").write_text("r1\tfam|p\t87.5\t50\t25\t40\t1e-9\t77\nr2\tfam|p\t90\n")
+    got = {r.read_id: (r.pident, r.qcov, r.scov, r.bitscore) for r in sources.read_hits_tsv(spark, str(tmp_path)).collect()}
+    assert got == {"r1": (0.875, 0.5, 0.25, 77.0), "r2": (0.9, None, None, None)}
