@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refpanel.functions import kmers, revcomp
+from refpanel.functions import revcomp
 from refpanel.functions.sequence import translate_frame, windows
 
 FLANK = 300
 KMER = 21
 PROBES = 8
-PIECE = 1000
 MIN_OVERLAP = 20
 TRUTH_COLUMNS = ["read_id", "family", "label", "accession", "overlaps_cds", "overlap_bp", "read_length"]
 
@@ -65,46 +64,42 @@ def assign_contig(reads: DataFrame, contigs: DataFrame) -> DataFrame:
     return reads.drop("contig_id").join(found, "read_id", "left")
 
 
-def _probes(read: Column, reverse: bool, k: int, probes: int) -> Column:
-    """K-mers of a read at 0, step, 2*step, ... with their offset; none if the read is too short."""
+def _anchor(read: Column, k: int, probes: int) -> Column:
+    """Start of the first probe k-mer whose last place in the contig lets the whole read fit."""
     n = F.length(read)
     step = F.greatest(F.lit(1), F.floor((n - k) / probes).cast("int"))
     offsets = F.when(n >= k, F.sequence(F.lit(0), n - k, step))
-    return F.transform(offsets, lambda i: F.struct(F.lit(reverse).alias("reverse"), i.alias("offset"), F.substring(read, i + 1, F.lit(k)).alias("kmer")))
 
+    def place(i: Column) -> Column:
+        # Last occurrence = first occurrence in the reversed contig. A literal pattern is
+        # searched with skips (Boyer-Moore), which instr does not do; characters that mean
+        # something in a pattern are escaped.
+        kmer = F.regexp_replace(F.reverse(F.substring(read, i + 1, F.lit(k))), "([^A-Za-z0-9])", r"\\$1")
+        back = F.regexp_instr(F.col("_reversed"), kmer)
+        at = F.col("contig_length") - back - (k - 1)
+        start = at - i
+        return F.when((back > 0) & (start >= 0) & (start + n <= F.col("contig_length")), start)
 
-def last_kmers(contigs: DataFrame, k: int) -> DataFrame:
-    """``(contig_id, contig_length, kmer, pos)``: each k-mer of a contig at its last position.
-
-    A contig is cut into pieces that overlap by ``k - 1`` first, so no row holds all its k-mers.
-    """
-    cut = F.split("seq", f"(?s)(?<=\\G.{{{PIECE}}})")
-    pieces = contigs.select("contig_id", F.length("seq").alias("contig_length"), cut.alias("_c"))
-    whole = F.transform("_c", lambda c, i: F.concat(c, F.substring(F.coalesce(F.get("_c", i + 1), F.lit("")), 1, k - 1)))
-    rows = pieces.select("contig_id", "contig_length", F.posexplode(whole).alias("_piece", "_seq"))
-    rows = rows.select("contig_id", "contig_length", "_piece", F.posexplode(kmers("_seq", k)).alias("_at", "kmer"))
-    at = F.col("_piece") * PIECE + F.col("_at")
-    return rows.groupBy("contig_id", "kmer").agg(F.max("contig_length").alias("contig_length"), F.max(at).alias("pos"))
+    # coalesce stops at the first hit, so later probes are not searched.
+    return F.aggregate(offsets, F.lit(None).cast("int"), lambda found, i: F.coalesce(found, place(i)))
 
 
 def locate_reads(reads: DataFrame, contigs: DataFrame, k: int = KMER, probes: int = PROBES) -> DataFrame:
     """``start`` and ``end`` (half-open) of each read on its own contig; reads that fit nowhere are dropped.
 
     Probes at 0, step, 2*step, ...; forward before reverse complement; a k-mer found more than
-    once counts at its last place, and the first probe whose place lets the whole read fit decides.
-    An equi-join on contig and k-mer, so a contig that most reads come from is spread over its
-    k-mers; k-mers are compared as they are, whatever characters they hold.
+    once counts at its last place. One join brings the contig to its reads; the k-mer lookups
+    are string searches in that row, so neither side is blown up into k-mers.
     """
-    row = F.xxhash64("seq").alias("_row")
-    tries = F.concat(_probes(F.col("seq"), False, k, probes), _probes(revcomp("seq"), True, k, probes))
-    asked = reads.select("read_id", "contig_id", row, F.length("seq").alias("_n"), F.explode(tries).alias("p"))
-    asked = asked.select("read_id", "contig_id", "_row", "_n", "p.*")
-    start = F.col("pos") - F.col("offset")
-    fits = (start >= 0) & (start + F.col("_n") <= F.col("contig_length"))
-    found = asked.join(last_kmers(contigs, k), ["contig_id", "kmer"]).filter(fits)
-    first = found.groupBy("read_id", "contig_id", "_row").agg(F.min(F.struct("reverse", "offset", start.cast("int").alias("start"))).alias("b"))
-    located = reads.withColumn("_row", row).join(first.select("read_id", "contig_id", "_row", F.col("b.start").alias("start")), ["read_id", "contig_id", "_row"])
-    return located.withColumn("end", F.col("start") + F.length("seq")).select(*reads.columns, "start", "end")
+    refs = contigs.select("contig_id", F.reverse("seq").alias("_reversed"), F.length("seq").alias("contig_length"))
+    located = reads.join(refs, "contig_id").withColumn(
+        "start", F.coalesce(_anchor(F.col("seq"), k, probes), _anchor(revcomp("seq"), k, probes))
+    )
+    return (
+        located.filter(F.col("start").isNotNull())
+        .withColumn("end", F.col("start") + F.length("seq"))
+        .drop("_reversed", "contig_length")
+    )
 
 
 def overlap_length(start, end, other_start, other_end) -> Column:
