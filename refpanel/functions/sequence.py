@@ -51,12 +51,14 @@ def read_family(subject) -> Column:
 def extra_id(header) -> Column:
     """Locus id after ``__`` in a study header, or the header's first word."""
     header = _col(header)
+    # Fixed value: how study headers write a locus.
     locus = F.regexp_extract(header, "__([A-Za-z0-9]+_[0-9]+)", 1)
     return F.when(locus != "", locus).otherwise(F.regexp_extract(header, "(\\S+)", 1))
 
 
 def orf_to_read(orf_id) -> Column:
     """Read id of an ORF id: drop the three numbers that follow the mate marker."""
+    # Fixed value: start, frame and number after the mate marker.
     return F.regexp_replace(_col(orf_id), "^(.*/[12])_\\d+_\\d+_\\d+$", "$1")
 
 

@@ -84,6 +84,7 @@ def calibrate(
     rungs = _ladder(none, clean)
     if policy == "percentile":
         tail = exact_quantile(scores.filter(F.col("label") == "negative"), ["family"], "score", percentile / 100.0, "_tail")
+        # The status names, here and below.
         status = ["no_positive_scores", "no_negatives_available", "clean_separation"]
         return stats.join(tail, "family", "left").select(
             "family",

@@ -84,9 +84,9 @@ def build_release(
         added, manifest = qc.add_extra_positives(kept.filter("label = 'positive'"), extra)
         kept = kept.unionByName(added.select(*raw.columns))
     clusters = cluster_greedy(kept, min_identity, k)
-    unique = kept.join(
+    unique = materialize(kept.join(
         clusters.filter("accession = representative").select("family", "label", "accession"), ["family", "label", "accession"], "left_semi"
-    )
+    ))
     make = split.split_random if split_mode == "random" else split.split_by_genus
     parts = materialize(make(unique, seed=seed))
 
@@ -98,7 +98,10 @@ def build_release(
         refs.assemble_refs(parts, refs.decoy_refs(parts, families), refs.fusion_refs(pairs, candidates, dedicated))
     )
 
-    queries = parts.filter("label = 'positive' and split = 'test'").unionByName(parts.filter("label = 'negative'")).select("family", "label", "accession", "seq")
+    # Negatives are scored whole, split or not; a family without test positives scores all it has.
+    tested = parts.filter("label = 'positive' and split = 'test'").select(*raw.columns)
+    untested = unique.filter("label = 'positive'").join(materialize(tested.select("family").distinct()), "family", "left_anti")
+    queries = tested.unionByName(untested.select(*raw.columns)).unionByName(unique.filter("label = 'negative'").select(*raw.columns))
     found = similarity.similarity_join(queries.select("family", "accession", "seq"), searchable, k)
     scores = calibrate.restricted_best(
         queries.select("family", "label", F.col("accession").alias("query_id")),

@@ -19,15 +19,21 @@ def read_domains(spark: SparkSession, path) -> DataFrame:
     return raw.select("accession", listed.alias("domains"))
 
 
+def _in_order(df: DataFrame) -> DataFrame:
+    """Rows in the order of the config, where the table carries it."""
+    return df.orderBy("ord") if "ord" in df.columns else df
+
+
 def write_tsv(df: DataFrame, path: str, mode: str = "error") -> None:
-    """Headered TSV; array columns are joined by ``;``."""
+    """Headered TSV, in config order if there is an ``ord``; array columns are joined by ``;``."""
+    df = _in_order(df)
     flat = [F.array_join(n, ";").alias(n) if t.startswith("array") else F.col(n) for n, t in df.dtypes]
     df.select(*flat).write.mode(mode).option("header", True).csv(path, sep="\t")
 
 
 def write_id_list(df: DataFrame, path: str, column: str = "family", mode: str = "error") -> None:
-    """One value per line."""
-    df.select(F.col(column).cast("string").alias("value")).write.mode(mode).text(path)
+    """One value per line, in config order if there is an ``ord``."""
+    _in_order(df).select(F.col(column).cast("string").alias("value")).write.mode(mode).text(path)
 
 
 def write_release(df: DataFrame, path: str, release: str) -> None:

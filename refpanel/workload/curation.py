@@ -10,19 +10,12 @@ from refpanel.operators import select as sel
 from refpanel.sources.families import subset_families
 from refpanel.sources.fasta import retag
 from refpanel.workload import standins as s
+from refpanel.workload.register import registrar
 
 SQL: dict[str, str] = {}
 QUERIES = {}
 
-
-def query(name: str, sql: str | None = None):
-    def add(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return add
+query = registrar(QUERIES, SQL)
 
 
 _FAMILIES = s.config_sql(s.PART_FAMILIES)

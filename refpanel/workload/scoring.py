@@ -10,19 +10,12 @@ from refpanel.operators import metrics as m
 from refpanel.operators.scorecard import qc_scorecard
 from refpanel.operators.select import apply_scope
 from refpanel.workload import standins as s
+from refpanel.workload.register import registrar
 
 SQL: dict[str, str] = {}
 QUERIES = {}
 
-
-def query(name: str, sql: str | None = None):
-    def add(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return add
+query = registrar(QUERIES, SQL)
 
 
 def _labelled(spark, d, with_score=True):

@@ -7,25 +7,19 @@ import math
 from pyspark.sql import functions as F
 
 from refpanel.functions import kmers, revcomp
+from refpanel.functions.sequence import GENETIC_CODE
 from refpanel.operators import alignment as aln
 from refpanel.operators import qc, reads, regions
 from refpanel.operators import similarity as sim
 from refpanel.operators.cluster import cluster_greedy
 from refpanel.workload import standins as s
+from refpanel.workload.register import registrar
 
 SQL: dict[str, str] = {}
 QUERIES = {}
 K = 16
 
-
-def query(name: str, sql: str | None = None):
-    def add(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return add
+query = registrar(QUERIES, SQL)
 
 
 @query("revcomp", f"WITH {s.CONTIGS} SELECT contig_id, md5(reverse(translate(seq, 'ACGTNacgtn', 'TGCANtgcan'))) AS digest FROM contigs")
@@ -117,9 +111,17 @@ def purity_manifest(spark, d):
     return qc.purity_manifest(_checked(spark, d))
 
 
+@query("worst_impurity", f"""{_PURITY} SELECT family, accession, max_pident FROM (
+  SELECT *, row_number() OVER (PARTITION BY family ORDER BY max_pident DESC, accession) AS rn FROM checked WHERE flagged) WHERE rn = 1""")
+def worst_impurity(spark, d):
+    return qc.worst_impurity(_checked(spark, d))
+
+
 @query("cluster_greedy")
 def cluster(spark, d):
-    return cluster_greedy(s.doc_sequences(spark, d), k=K)
+    """Half of the k-mers shared is part of what counts as similar here: long texts have passages in
+    common, and at this k the identity alone guarantees no share."""
+    return cluster_greedy(s.doc_sequences(spark, d), k=K, containment=50)
 
 
 # --- alignments ----------------------------------------------------------------------------
@@ -230,11 +232,10 @@ def background_union(spark, d):
     return reads.with_background(truth, background)
 
 
-_CODE = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 _ORFS = f"""strands AS (SELECT read_id, f, add_, CASE WHEN add_ = 0 THEN seq ELSE reverse(translate(seq, 'ACGTNacgtn', 'TGCANtgcan')) END AS q
   FROM reads CROSS JOIN (VALUES (1), (2), (3)) fs(f) CROSS JOIN (VALUES (0), (3)) adds(add_)),
 aas AS (SELECT read_id, f, f + add_ AS frame, string_split(array_to_string(list_transform(generate_series(0, (length(q) - f + 1) // 3 - 1),
-    lambda i: substr('{_CODE}', 16 * (strpos('TCAG', substr(q, f + 3 * i, 1)) - 1) + 4 * (strpos('TCAG', substr(q, f + 3 * i + 1, 1)) - 1) + strpos('TCAG', substr(q, f + 3 * i + 2, 1)), 1)), ''), '*') AS parts FROM strands),
+    lambda i: substr('{GENETIC_CODE}', 16 * (strpos('TCAG', substr(q, f + 3 * i, 1)) - 1) + 4 * (strpos('TCAG', substr(q, f + 3 * i + 1, 1)) - 1) + strpos('TCAG', substr(q, f + 3 * i + 2, 1)), 1)), ''), '*') AS parts FROM strands),
 pieces AS (SELECT read_id, f, frame, i, parts[i] AS aa, f + 3 * (i - 1 + coalesce(list_sum(list_transform(parts[:i - 1], lambda x: length(x))), 0)) AS start
   FROM (SELECT *, unnest(generate_series(1, len(parts))) AS i FROM aas)),
 orfs AS (SELECT read_id || '_' || CAST(start AS INTEGER) || '_' || frame || '_' || row_number() OVER (PARTITION BY read_id, frame ORDER BY i) AS orf_id, read_id, frame, CAST(start AS INTEGER) AS start, aa

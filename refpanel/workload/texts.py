@@ -42,6 +42,13 @@ def fastq_scan(spark, d):
     return sources.read_fastq(spark, path).select("read_id", "read_length", F.md5("seq").alias("digest"))
 
 
+def paired_samples(spark, d):
+    """Conversation turns as reads: a conversation is a sample, odd and even turns are its mates."""
+    turns = s.table(spark, d, "conversations")
+    rows = turns.select(F.col("conv_id").cast("string").alias("sample"), (F.col("turn") % 2 + 1).cast("int").alias("mate"), F.concat_ws("_", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("read_id"))
+    return sources.paired_samples(rows)
+
+
 def hits_scan(spark, d):
     """Line items written as headerless hit files and scanned back."""
     path = _folder(spark)
@@ -78,7 +85,7 @@ def release_partitions(spark, d):
     return sources.derived_partition(spark, path, "v1").select("s_suppkey", "n", "release")
 
 
-for _fn in (fasta_roundtrip, fastq_scan, hits_scan, tblout_scan, manifest_scan, release_partitions):
+for _fn in (fasta_roundtrip, fastq_scan, paired_samples, hits_scan, tblout_scan, manifest_scan, release_partitions):
     QUERIES[_fn.__name__] = _fn
 
 _DNA = f"translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{s.DNA_FROM}', '{s.DNA_TO}')"
@@ -89,3 +96,5 @@ SQL["hits_scan"] = f"WITH {s.HITS} SELECT read_id, family || '|' || subject_id A
 SQL["tblout_scan"] = "SELECT l_orderkey || '/1' AS read_id, 'fam' || l_suppkey AS family, l_extendedprice AS bitscore FROM lineitem"
 SQL["manifest_scan"] = "SELECT CAST(p_partkey AS VARCHAR) AS accession, replace(p_name, ' ', ',') AS domains FROM part"
 SQL["release_partitions"] = "SELECT s_suppkey, 3 AS n, 'v1' AS release FROM supplier"
+SQL["paired_samples"] = """WITH r AS (SELECT CAST(conv_id AS VARCHAR) AS sample, CAST(turn % 2 + 1 AS INTEGER) AS mate, conv_id || '_' || turn AS read_id FROM conversations)
+SELECT * FROM r WHERE sample IN (SELECT sample FROM r GROUP BY 1 HAVING count(DISTINCT mate) = 2)"""
