@@ -1,8 +1,8 @@
 """Information-theoretic sanitisation of personal data, in DataFrame functions only.
 
-Patterns find the protected entities. How much a term near an entity reveals it is estimated from
-the corpus: the pointwise mutual information of term and entity over documents, as a share of the
-entity's own information content. A term that reveals nearly all of it is removed from documents
+Patterns find the protected entities. How much a term reveals an entity of the same document is
+estimated from the corpus: the pointwise mutual information of term and entity over documents,
+smoothed for rare terms, as a share of the entity's own information content. A term that reveals nearly all of it is removed from documents
 that hold the entity, one that reveals much of it is generalised.
 """
 
@@ -25,10 +25,10 @@ PATTERNS = {
 #: What a text must hold for a kind to occur at all; cheaper than the full search.
 HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]+\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){15}", "phone": r"\+[0-9]"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-#: Characters on either side of an entity whose words count as its context.
-CONTEXT = 80
-#: Documents that must hold term and entity together before their association counts.
-SUPPORT = 3
+#: Pseudo-documents at the entity's base rate that smooth the share of a term's documents that hold
+#: the entity: the squared normal quantile (0.8416) of a one-sided 80 % interval. A term met once,
+#: beside an entity met once, then reveals log2(1.71) bits less than all.
+PRIOR = 0.7083
 #: Shares of the entity's information from which a term is generalised or removed.
 GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
@@ -59,14 +59,17 @@ def _valid(kind: str, m: Column) -> Column:
 
 
 def _spans(text: Column, kind: str, pattern: Column, entity, valid) -> Column:
-    """Matches of ``pattern`` with code point positions: the text between the matches tells where
-    each of them starts."""
+    """Valid matches of ``pattern`` with code point positions: the text between the matches tells
+    where each of them starts. One pass over them, as terms can be many."""
     found = F.regexp_extract_all(text, pattern, F.lit(0))
-    sizes = F.zip_with(F.transform(F.split(text, pattern, -1), F.length), F.transform(found, F.length), lambda a, b: F.struct(a.alias("gap"), F.coalesce(b, F.lit(0)).alias("n")))
-    at = F.arrays_zip(found.alias("m"), F.sequence(F.lit(1), F.size(found)).alias("k"))
-    before = lambda k: F.aggregate(F.slice(sizes, 1, k), F.lit(0).cast("long"), lambda acc, s: acc + s["gap"] + s["n"])
-    span = lambda x: F.struct(F.lit(kind).alias("kind"), (before(x["k"]) - F.length(x["m"])).alias("start"), before(x["k"]).alias("end"), entity(x["m"]).alias("value"))
-    return F.when(F.size(found) > 0, F.transform(F.filter(at, lambda x: valid(x["m"])), span))
+    parts = F.arrays_zip(found.alias("m"), F.transform(F.split(text, pattern, -1), F.length).alias("gap"))
+    first = lambda acc, x: acc["at"] + x["gap"]
+    last = lambda acc, x: first(acc, x) + F.length(x["m"])
+    span = lambda acc, x: F.struct(F.lit(kind).alias("kind"), first(acc, x).alias("start"), last(acc, x).alias("end"), entity(x["m"]).alias("value"))
+    out = lambda acc, x: F.when(valid(x["m"]), F.concat(acc["out"], F.array(span(acc, x)))).otherwise(acc["out"])
+    step = lambda acc, x: F.when(x["m"].isNull(), acc).otherwise(F.struct(last(acc, x).alias("at"), out(acc, x).alias("out")))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+    return F.aggregate(parts, start, step, lambda acc: acc["out"])
 
 
 def entity_spans(text: Column) -> Column:
@@ -90,45 +93,53 @@ def locate(docs: DataFrame, text_col: str = "text", keep: list[str] | None = Non
     return store(rows.withColumn("_uid", F.monotonically_increasing_id()), "located")
 
 
+def _replaced(marks: Column) -> Column:
+    """``_text`` with the stretches of ``marks(start, end, by)`` replaced; overlapping ones become
+    one replacement, that of the first."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+    gap = lambda acc, m: F.substring("_text", (acc["at"] + 1).cast("int"), (m["start"] - acc["at"]).cast("int"))
+    step = lambda acc, m: F.when(m["start"] < acc["at"], F.struct(F.greatest(acc["at"], m["end"]).alias("at"), acc["out"].alias("out"))).otherwise(F.struct(m["end"].alias("at"), F.concat(acc["out"], F.array(gap(acc, m), m["by"])).alias("out")))
+    return F.aggregate(F.array_sort(marks), start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring("_text", (acc["at"] + 1).cast("int"), F.length("_text"))))
+
+
 def _mentions(located: DataFrame) -> DataFrame:
-    rows = located.filter(F.size("_spans") > 0).select("_uid", "_text", F.explode("_spans").alias("s"))
-    first = F.greatest(F.lit(0), F.col("s.start") - CONTEXT)
-    left = F.substring("_text", (first + 1).cast("int"), (F.col("s.start") - first).cast("int"))
-    left = F.when(first > 0, F.regexp_replace(left, r"^[\p{L}\p{N}]+", "")).otherwise(left)
-    right = F.substring("_text", (F.col("s.end") + 1).cast("int"), F.lit(CONTEXT))
-    right = F.when(F.length(right) == CONTEXT, F.regexp_replace(right, r"[\p{L}\p{N}]+$", "")).otherwise(right)
-    terms = F.array_distinct(F.regexp_extract_all(F.lower(F.concat(left, F.lit(" | "), right)), F.lit(TERM), F.lit(0)))
-    return rows.select("_uid", F.col("s.value").alias("entity"), terms.alias("terms"))
+    """``_uid``, the document's distinct ``entities`` and its ``terms`` outside of them."""
+    rest = _replaced(F.transform("_spans", lambda s: F.struct(s["start"], s["end"], F.lit(" | ").alias("by"))))
+    terms = F.array_distinct(F.regexp_extract_all(F.lower(rest), F.lit(TERM), F.lit(0)))
+    entities = F.array_distinct(F.transform("_spans", lambda s: s["value"]))
+    return located.filter(F.size("_spans") > 0).select("_uid", entities.alias("entities"), terms.alias("terms"))
 
 
-def disclosing_terms(docs: DataFrame, mentions: DataFrame, text_col: str = "text", support: int = SUPPORT, generalise_at: float = GENERALISE_AT) -> DataFrame:
+def disclosing_terms(docs: DataFrame, mentions: DataFrame, text_col: str = "text", prior: float = PRIOR, generalise_at: float = GENERALISE_AT) -> DataFrame:
     """``entity, term, disclosure``: the share of the entity's information that the term reveals.
 
     Counts are of documents: all of ``docs`` for the terms, those with the entity for the pairs.
+    The share of a term's documents that hold the entity counts ``prior`` more documents at the
+    entity's base rate, so a rare term needs no least count.
     """
-    total = docs.count()
-    entities = mentions.select("_uid", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("ne"))
-    pairs = mentions.select("_uid", "entity", F.explode("terms").alias("term")).distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
-    pairs = store(pairs.filter(F.col("both") >= support), "pairs")
+    total = F.lit(float(docs.count()))
+    each = mentions.select("terms", F.explode("entities").alias("entity"))
+    entities = each.groupBy("entity").agg(F.count(F.lit(1)).alias("ne"))
+    pairs = each.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col).cast("string")), F.lit(TERM), F.lit(0)))
     known = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("nt"))
-    information = F.log2(F.lit(float(total)) / F.col("ne"))
-    mutual = F.log2(F.col("both") * F.lit(float(total)) / (F.col("nt") * F.col("ne")))
-    rated = pairs.join(entities, "entity").join(known, "term").filter(information > 0)
-    return store(rated.select("entity", "term", (mutual / information).alias("disclosure")).filter(F.col("disclosure") >= generalise_at), "disclosing")
+    base = F.col("ne") / total
+    given = (F.col("both") + F.lit(prior) * base) / (F.col("nt") + F.lit(prior))
+    rated = pairs.join(entities, "entity").join(known, "term").filter(base < 1)
+    return store(rated.select("entity", "term", (F.log2(given / base) / -F.log2(base)).alias("disclosure")).filter(F.col("disclosure") >= generalise_at), "disclosing")
 
 
-def find(docs: DataFrame, located: DataFrame, text_col: str = "text", support: int = SUPPORT, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> DataFrame:
+def find(docs: DataFrame, located: DataFrame, text_col: str = "text", prior: float = PRIOR, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> DataFrame:
     """``located`` with ``_terms``: spans of disclosing terms outside the entities, of kind ``term``
     with the value ``generalise`` or ``remove``."""
-    mentions = _mentions(located)
-    terms = disclosing_terms(docs, mentions, text_col, support, generalise_at)
-    held = store(mentions.select("_uid", "entity").distinct(), "held").join(terms, "entity")
+    mentions = store(_mentions(located), "mentions")
+    terms = disclosing_terms(docs, mentions, text_col, prior, generalise_at)
+    held = mentions.select("_uid", F.explode("entities").alias("entity")).join(terms, "entity")
     action = F.when(F.max("disclosure") >= remove_at, "remove").otherwise("generalise")
     mine = held.groupBy("_uid", "term").agg(action.alias("action")).groupBy("_uid").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("term", "action")))).alias("_actions"))
     with_spans = located.filter(F.size("_spans") > 0).join(store(mine, "actions"), "_uid", "left")
-    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.map_keys("_actions"), "|"), F.lit(r")(?![\p{L}\p{N}])"))
-    spans = _spans(F.col("_text"), "term", pattern, lambda m: F.coalesce(F.element_at("_actions", F.lower(m)), F.lit("generalise")), lambda m: F.lit(True))
+    action = lambda m: F.element_at("_actions", F.lower(m))
+    spans = _spans(F.col("_text"), "term", F.lit(TERM), action, lambda m: action(m).isNotNull())
     free = F.filter(spans, lambda t: ~F.exists("_spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     none = F.array().cast(f"array<{_SPAN}>")
     found = with_spans.withColumn("_terms", F.coalesce(F.when(F.col("_actions").isNotNull(), free), none)).drop("_actions")
@@ -153,10 +164,6 @@ def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     columns = docs.columns
     packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).cast("string").alias("_source"))
     found = find(docs, locate(packed, "_source", ["_row"]), text_col)
-    marks = F.array_sort(F.transform(F.concat("_spans", "_terms"), lambda s: F.struct(s["start"], s["end"], F.when(s["value"] == "remove", "").otherwise(F.concat(F.lit("["), s["kind"], F.lit("]"))).alias("by"))))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-    gap = lambda acc, m: F.substring("_text", (acc["at"] + 1).cast("int"), (m["start"] - acc["at"]).cast("int"))
-    step = lambda acc, m: F.when(m["start"] < acc["at"], F.struct(F.greatest(acc["at"], m["end"]).alias("at"), acc["out"].alias("out"))).otherwise(F.struct(m["end"].alias("at"), F.concat(acc["out"], F.array(gap(acc, m), m["by"])).alias("out")))
-    done = F.aggregate(marks, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring("_text", (acc["at"] + 1).cast("int"), F.length("_text"))))
+    done = _replaced(F.transform(F.concat("_spans", "_terms"), lambda s: F.struct(s["start"], s["end"], F.when(s["value"] == "remove", "").otherwise(F.concat(F.lit("["), s["kind"], F.lit("]"))).alias("by"))))
     text = F.when(F.size("_spans") > 0, done).otherwise(F.col(f"_row.`{text_col}`").cast("string"))
     return found.select(*(text.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in columns))

@@ -114,6 +114,19 @@ def test_disclosing_terms(spark):
     assert clean[10] == rows[6][1]
 
 
+def test_single_documents_disclose(spark):
+    """A name written only in the one document of a unique address goes, however far from it; words
+    that other documents use stay."""
+    far = " ".join(["please write about the matter"] * 10)
+    rows = [(1, f"Quagmire said {far} to jo@example.org"), (2, "jim@example.org said Xanadu"), (3, "Xanadu to jim@example.org")]
+    rows += [(10 + k, f"please write about the matter said to {k}") for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in sanitise.sanitise(docs).collect()}
+    assert clean[1] == f"[term] said {far} to [email]"
+    assert clean[2] == "[email] said [term]" and clean[3] == "[term] to [email]"
+    assert all(clean[r[0]] == r[1] for r in rows[3:])
+
+
 def test_sanitise_rows(odd, nothing):
     done = sanitise.sanitise(odd)
     assert done.columns == odd.columns and done.count() == 10
