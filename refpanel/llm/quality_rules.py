@@ -15,14 +15,15 @@ from refpanel.llm.common import Cache, hash_cache, store, texts_of
 SYMBOLS = b"#*$%&|<>"
 #: Quantile sketch size: rank error about 1 %.
 SKETCH_K = 400
-#: How far beyond its group's quartiles a value may lie, in quartile distances, and the least
-#: distance and value that count as far. In order: name, distances, least distance, least value.
+#: How far beyond its group's third quartile a value may lie, in quartile distances, and the least
+#: distance, as a count in a text of the group's median length: no share is finer than one word, and
+#: the least repetition takes six. In order: name, distances, least count.
 UPPER_RULES = (
-    ("symbols_per_word", 6.0, 0.01, 0.10),
-    ("repeated_share", 6.0, 0.02, 0.30),
-    ("dup_line_share", 6.0, 0.02, 0.30),
-    ("shouting_share", 6.0, 0.02, 0.30),
-    ("word_chars_mean", 4.0, 0.60, 12.0),
+    ("symbols_per_word", 6.0, 1),
+    ("repeated_share", 6.0, 6),
+    ("dup_line_share", 6.0, 1),
+    ("shouting_share", 6.0, 1),
+    ("word_chars_mean", 4.0, 1),
 )
 _GRAM = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -80,11 +81,14 @@ def _ratios() -> dict[str, Column]:
 
 def thresholds(measured: DataFrame, group_cols: list[str], k: int = SKETCH_K) -> DataFrame:
     """One row per group with an upper bound for each ratio: the third quartile plus some quartile
-    distances, both read from sketches that tasks build over their rows and merge by group."""
+    distances, both read from sketches that tasks build over their rows and merge by group. A
+    distance of zero is widened to a count in a text of the group's median length."""
     ratios = _ratios()
     sketches = [F.kll_sketch_agg_double(ratios[r], F.lit(k)).alias(r) for r, *_ in UPPER_RULES]
+    sketches.append(F.kll_sketch_agg_double(F.col("n_words").cast("double"), F.lit(k)).alias("_words"))
     at = lambda r, q: F.kll_sketch_get_quantile_double(r, F.lit(q))
-    bounds = [F.greatest(F.lit(least), at(r, 0.75) + far * F.greatest(at(r, 0.75) - at(r, 0.25), F.lit(width))).alias(f"max_{r}") for r, far, width, least in UPPER_RULES]
+    one = F.lit(1.0) / F.greatest(at("_words", 0.5), F.lit(1.0))
+    bounds = [(at(r, 0.75) + far * F.greatest(at(r, 0.75) - at(r, 0.25), least * one)).alias(f"max_{r}") for r, far, least in UPPER_RULES]
     return measured.groupBy(*group_cols).agg(*sketches).select(*group_cols, *bounds)
 
 

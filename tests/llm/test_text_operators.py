@@ -88,6 +88,16 @@ def test_quality_thresholds_follow_the_group(spark):
     assert [r.doc_id for r in dropped] == [1000]
 
 
+def test_quality_bounds_have_no_floor(spark):
+    """A few symbols are too many in a source without any, and longer words where all are short."""
+    clean = " ".join(f"w{k}" for k in range(200))
+    rows = [(k, f"{clean} v{k}", "en", "news") for k in range(100)]
+    rows += [(1000, f"{clean} {'# ' * 10}", "en", "news"), (1001, " ".join(f"longer{k}" for k in range(200)), "en", "news")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    dropped = quality_rules.filter_quality(docs).filter("NOT kept").collect()
+    assert sorted(r.doc_id for r in dropped) == [1000, 1001]
+
+
 def test_entities(spark):
     scraps = ["a@b.co", "a", "@", ".", "+", "1", "23", "4444", "4539148803436467", "1.2.3.4", "300.1.1.1", " ", "-", "(", "é", "😀", "x@y.z%q@r.s", "+1 (706) 555-3138", "_", "5555 5555 5555 4444", "0", "%"]
     draw = random.Random(3)
