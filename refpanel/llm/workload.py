@@ -21,7 +21,7 @@ def query(fn):
 def op1_kneser_ney(spark, d):
     docs = table(spark, d, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
-    model = ngram.train(docs.filter(F.coalesce(~held_out, F.lit(True))))
+    model = ngram.train(docs.filter(F.coalesce(~held_out, F.lit(True))), order=3)
     scores = ngram.score(docs, model)
     columns = [F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"]
     return scores.select("doc_id", *columns)

@@ -133,6 +133,16 @@ def test_language_model(spark, order):
         assert sum(p(context, w) for w in [*vocabulary, "never"]) == pytest.approx(1)
 
 
+def test_language_model_query_sees_two_words_before(spark, tmp_path, monkeypatch):
+    """The registered query trains trigrams at least."""
+    from refpanel.llm import workload
+
+    orders, train = [], ngram.train
+    monkeypatch.setattr(ngram, "train", lambda docs, **given: orders.append((m := train(docs, **given)).order) or m)
+    spark.createDataFrame([(k, f"a b c{k}") for k in range(20)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert workload.op1_kneser_ney(spark, str(tmp_path)).count() == 20 and orders[0] >= 3
+
+
 def test_language_model_rows(odd, nothing):
     model = ngram.train(odd)
     rows = ngram.score(odd, model).collect()
