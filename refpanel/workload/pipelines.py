@@ -16,7 +16,7 @@ SQL: dict[str, str] = {}
 _RELEASE_FAMILIES = [
     dict(family="en", pos_genes=["en"], neg_pfam=["d0", "d1"], exclude_genes=["en", "es"], decoy_from_negatives=True, fusion_partner="de", fusion_marker="d7"),
     dict(family="de", pos_genes=["de"], neg_pfam=["d2"], exclude_genes=["de"], fusion_partner="en", fusion_marker="d8"),
-    dict(family="fr", pos_genes=["fr"], neg_pfam=["d3", "d4"], exclude_genes=["fr"], scope="annotate_only", max_negative=100),
+    dict(family="fr", pos_genes=["fr"], neg_pfam=["d3", "d4"], exclude_genes=["fr"], scope="annotate_only"),
     dict(family="es", pos_genes=["es"], neg_pfam=["d5"], exclude_genes=["es"], decoy_from_negatives=True),
 ]
 

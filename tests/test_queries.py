@@ -47,6 +47,12 @@ def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 
 
+def test_release_is_not_capped():
+    from refpanel.workload import pipelines
+
+    assert not any("max_negative" in f or "max_positive" in f for f in pipelines._RELEASE_FAMILIES)
+
+
 def test_release_run(spark):
     card = QUERIES["release_scorecard"](spark, DATA)
     assert {r.family for r in card.collect()} == {"en", "de", "fr", "es"}
