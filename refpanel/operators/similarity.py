@@ -1,8 +1,7 @@
 """Similarity search between sequence tables by shared k-mers and ungapped diagonals.
 
-A hit is a pair that shares at least ``containment`` percent of the query's distinct k-mers. The
-default is what the asked identity guarantees, and one shared k-mer where none is asked, so the
-percentage speeds a search up but never decides it. Such a pair must share one of the query's ``n - need + 1`` rarest k-mers (the prefix-filter
+A hit is a pair that shares a k-mer, or at least ``containment`` percent of the query's distinct
+k-mers where that is asked. Such a pair must share one of the query's ``n - need + 1`` rarest k-mers (the prefix-filter
 principle of set-similarity joins), so only those are looked up: a k-mer common to a third of
 the references comes last in that order and is normally never probed, yet no pair is lost.
 Identical sequences are searched once and share the result.
@@ -28,10 +27,11 @@ def needed(n, containment: int) -> Column:
     return F.greatest(F.lit(1), F.floor((n * containment + 99) / 100).cast("int"))
 
 
-def guaranteed(identity: float, k: int) -> int:
-    """Percent of its k-mers that a sequence surely shares at an identity (0 to 1): every mismatch
-    takes ``k`` of them away. At least 1, which any shared k-mer meets up to 100 k-mers."""
-    return max(1, int(100 * (1 - k * (1 - identity)) + 1e-9))
+def guaranteed(n_kmers, length, identity: float, k: int) -> Column:
+    """Distinct k-mers that a sequence surely shares at an identity (0 to 1) over its whole length:
+    every mismatch takes at most ``k`` of them away. At least 1, the seed of any comparison."""
+    n_kmers, length = (F.col(c) if isinstance(c, str) else c for c in (n_kmers, length))
+    return F.greatest(F.lit(1), n_kmers - k * F.floor((1 - identity) * length + 1e-9)).cast("int")
 
 
 def bitscore(matches: Column, mismatches: Column) -> Column:
@@ -76,18 +76,18 @@ def write_seed_index(index: DataFrame, table: str, buckets: int = 200) -> None:
     index.write.mode("overwrite").bucketBy(buckets, "kmer").sortBy("kmer").saveAsTable(table)
 
 
-def rare_probes(shared: DataFrame, group: list[str], containment: int) -> DataFrame:
+def rare_probes(shared: DataFrame, group: list[str], need: Column) -> DataFrame:
     """The k-mers of each query that must be looked up.
 
     ``shared(group, id, n_kmers, code, df)`` holds the query k-mers that some reference has.
-    Of ``p`` such k-mers a hit shares at least ``need``, so it shares one of any
+    Of ``p`` such k-mers a hit shares at least ``need`` (a column), so it shares one of any
     ``p - need + 1``; the rarest are taken. K-mers no reference has never enter the sort.
     """
     mine = Window.partitionBy(*group, "id")
     return (
         shared.withColumn("_p", F.count(F.lit(1)).over(mine))
         .withColumn("_rank", F.row_number().over(mine.orderBy("df", "code")))
-        .filter(F.col("_rank") <= F.col("_p") - needed("n_kmers", containment) + 1)
+        .filter(F.col("_rank") <= F.col("_p") - need + 1)
         .select(*group, "id", "code")
     )
 
@@ -153,7 +153,7 @@ def candidate_pairs(q: DataFrame, r: DataFrame, group: list[str], k: int, contai
         kmer_codes(r, group, k).drop("n_kmers").join(asked.select("code"), "code", "left_semi")
     )
     counts = held.groupBy("code").agg(F.count(F.lit(1)).alias("df"))
-    probes = rare_probes(asked.join(counts, "code"), group, containment)
+    probes = rare_probes(asked.join(counts, "code"), group, needed("n_kmers", containment))
     return (
         probes.withColumnRenamed("id", "q_id")
         .join(held.withColumnRenamed("id", "r_id"), [*group, "code"])
@@ -177,15 +177,11 @@ def similarity_join(
     and gets the best of each reference family. Ties go to the lowest accession. The result has
     at most one row per query and reference family, whatever the number of copies.
 
-    ``min_identity`` (a fraction) says that hits below it are of no interest; they may then be
-    missing, all others are found. Without it every reference that shares a k-mer is compared.
-    An explicit ``containment`` makes that share of the query's k-mers a condition of a hit.
+    ``min_identity`` (a fraction) says that hits below it are of no interest. The identity of a hit
+    is that of its seeded span, which guarantees no share of all k-mers, so every reference that
+    shares a k-mer is compared. An explicit ``containment`` makes that share of the query's k-mers a condition of a hit.
     """
-    if containment is None:
-        containment = 1 if min_identity is None else guaranteed(min_identity, k)
-        exact = containment == 1
-    else:
-        exact = False
+    exact = containment is None
     if same_family:
         group = ["family"]
         q, members = distinct_sequences(queries, group, k)

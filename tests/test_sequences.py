@@ -79,6 +79,28 @@ def test_cluster_greedy_equals_sequential(spark, proteins):
     assert got == want
 
 
+@pytest.mark.parametrize("k", [5, 16])
+def test_cluster_greedy_keeps_spread_mismatches(spark, k):
+    """Pairs at 90 to 95 % identity cluster, whatever share of their k-mers the mismatches leave."""
+    rng, rows = random.Random(5), []
+    letters = "ACDEFGHIKLMNPQRSTVWY"
+    for i in range(12):
+        base = [rng.choice(letters) for _ in range(300)]
+        other, n = base[:], 15 + i * 15 // 11
+        for j in range(n):
+            p = 40 + j * 250 // n  # the start stays as a seed
+            other[p] = letters[(letters.index(other[p]) + 1) % 20]
+        rows += [("f", "positive", f"a{i:02d}", "".join(base)), ("f", "positive", f"b{i:02d}", "".join(other))]
+    df = spark.createDataFrame(rows, "family string, label string, accession string, seq string")
+    got = {r.accession: r.representative for r in cluster_greedy(df, 0.9, k=k).collect()}
+    want, reps = {}, []
+    for _, _, acc, seq in sorted(rows, key=lambda r: (-len(r[3]), r[2])):
+        owner = next((a for a, s in reps if (h := align(seq, s, k)) and h["identity"] >= 0.9), acc)
+        reps += [(acc, seq)] if owner == acc else []
+        want[acc] = owner
+    assert got == want and len(set(want.values())) == 12
+
+
 CONTIG = "contig_id string, family string, label string, accession string, seq string"
 
 
