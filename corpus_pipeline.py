@@ -1,13 +1,13 @@
 """Training-data pipeline over ``documents``: the stages in order, each written and read again.
 
-All but the last stage return the columns of ``documents``; a document id names a document, so
-rows that repeat an id share its fate. Empty tables go through every stage.
+All but the last stage return the columns of ``documents``. Rows are judged by themselves: ids may
+be null or repeat. Empty tables go through every stage.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refpanel.llm import decontaminate, near_dedup, pieces, sanitise, toxicity
@@ -18,29 +18,51 @@ from refpanel.llm.common import ship_code, store, table
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is not among the ids of ``dropped``."""
-    gone = store(dropped.select(F.col("doc_id").alias("_gone")).distinct(), "dropped")
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone._gone), "left_anti")
+def _free(docs: DataFrame) -> str:
+    """A name that no column of ``docs`` has."""
+    name = "_row"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    return name
+
+
+def _content() -> Column:
+    """Digest of id and text. Rows that share it get the same verdict from anything that reads the
+    text alone."""
+    part = lambda c: F.coalesce(F.sha2(F.col(c).cast("string"), 256), F.lit("null"))
+    return F.sha2(F.concat_ws(":", part("doc_id"), part("text")), 256)
+
+
+def _without(docs: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``key`` is not among those of ``dropped``, without the key."""
+    gone = store(dropped.select(F.col(key)).distinct(), "dropped")
+    return docs.join(gone, key, "left_anti").drop(key)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic go."""
     ship_code(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, toxicity.score(docs, model).filter("predicted = 1"))
+    key = _free(docs)
+    docs = docs.withColumn(key, _content())
+    return _without(docs, key, toxicity.score(docs, model, key).filter("predicted = 1"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id."""
+    """One row of each group of near-duplicates stays, one with the smallest id (null is the largest)."""
     ship_code(spark)
-    return _without(docs, near_dedup.near_duplicates(docs).filter("NOT kept"))
+    key, columns = _free(docs), docs.columns
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("n"))
+    docs = store(docs.withColumn(key, row), "rows")  # stored: the numbers must not change
+    return _without(docs, key, near_dedup.near_duplicates(docs, id_col=key).filter("NOT kept")).select(*columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which test windows cover 5 % or more go."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), slop=0)
-    return _without(docs, found.filter("contaminated"))
+    key = _free(docs)
+    docs = docs.withColumn(key, _content())
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), slop=0, id_col=key)
+    return _without(docs, key, found.filter("contaminated"))
 
 
 def sanitise_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
