@@ -17,6 +17,8 @@ from refpanel.session import checkpoint_root
 
 #: Entries a worker's word cache may hold before it starts afresh.
 CACHE_ENTRIES = 1_000_000
+#: Longer words are not kept, which bounds the cache in bytes too.
+CACHED_LENGTH = 64
 _UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 #: Lower-cases A-Z only; ``bytes.split()`` then cuts at exactly [\x20\x09-\x0D].
 LOWER = bytes(_UPPER.get(c, c) for c in range(256))
@@ -64,14 +66,17 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
 
 
 class Cache(dict):
-    """``cache[key]`` computes and keeps ``fn(key)``; emptied by ``trim`` when it has grown."""
+    """``cache[key]`` computes ``fn(key)`` and keeps it unless the key is long; emptied by ``trim``
+    when it has grown."""
 
     def __init__(self, fn: Callable):
         super().__init__()
         self.fn = fn
 
     def __missing__(self, key):
-        value = self[key] = self.fn(key)
+        value = self.fn(key)
+        if len(key) <= CACHED_LENGTH:
+            self[key] = value
         return value
 
     def trim(self, entries: int = CACHE_ENTRIES) -> None:

@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from refpanel.llm import decontaminate, near_dedup, ngram, pieces, quality_rank, quality_rules, revisits, sanitise, token_count, toxicity
+from refpanel.llm import (
+    collocations,
+    decontaminate,
+    merkle,
+    near_dedup,
+    ngram,
+    pieces,
+    quality_rank,
+    quality_rules,
+    revisits,
+    sanitise,
+    simhash,
+    token_count,
+    toxicity,
+)
 from refpanel.llm.common import table
 
 QUERIES = {}
@@ -127,3 +141,58 @@ def op9_decontamination(spark, d):
 def op10_disclosure(spark, d):
     found = sanitise.report(table(spark, d, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query
+def op11_simhash_dedup(spark, d):
+    return simhash.near_duplicates(table(spark, d, "documents"))
+
+
+@query
+def op12_merkle_manifest(spark, d):
+    docs = table(spark, d, "documents")
+    return merkle.audit(docs, tampered=F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
+
+
+_BYTES = "octet_length(encode({0})) || ':' || {0}"
+_LEAF = "sha256(" + " || ".join(f"coalesce({_BYTES.format(f'CAST({c} AS VARCHAR)')}, '-')" for c in ("doc_id", "source", "lang", "n_chars")) + " || coalesce(" + _BYTES.format("{text}") + ", '-'))"
+# Fixed value: the reflected polynomial of the 32-bit checksum.
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda s, b: list_reduce(list_prepend(xor(s, b), CAST(range(8) AS BIGINT[])), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+SQL["op12_merkle_manifest"] = f"""WITH RECURSIVE d AS (
+  SELECT *, {_LEAF.format(text="text")} AS leaf, {_LEAF.format(text="replace(text, chr(10), '')")} AS spoilt, coalesce({_CRC} % 2 = 0, false) AS tampered FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS size FROM d),
+t(source, lvl, pos, size, digest) AS (SELECT source, 0, pos, size, leaf FROM leaves
+  UNION ALL SELECT source, lvl + 1, pos // 3, (size + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM t WHERE size > 1 GROUP BY source, lvl, pos // 3, size),
+tops AS (SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS size FROM t WHERE size = 1),
+u(lvl, pos, size, digest) AS (SELECT 0, pos, size, subroot FROM tops
+  UNION ALL SELECT lvl + 1, pos // 3, (size + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM u WHERE size > 1 GROUP BY lvl, pos // 3, size),
+runs AS (SELECT source, lvl, pos // 3 AS run, list(digest ORDER BY pos) AS h FROM t WHERE size > 1 GROUP BY ALL),
+upper AS (SELECT lvl, pos // 3 AS run, list(digest ORDER BY pos) AS h FROM u WHERE size > 1 GROUP BY ALL),
+up AS (SELECT leaves.doc_id, leaves.leaf, leaves.source, leaves.pos AS place, lvl, CAST(leaves.pos // CAST(3 ** lvl AS BIGINT) % 3 AS BIGINT) AS spot, h FROM leaves JOIN runs ON runs.source IS NOT DISTINCT FROM leaves.source AND run = leaves.pos // CAST(3 ** (lvl + 1) AS BIGINT)
+  UNION ALL SELECT leaves.doc_id, leaves.leaf, leaves.source, leaves.pos, 100 + lvl, CAST(tops.pos // CAST(3 ** lvl AS BIGINT) % 3 AS BIGINT), h FROM leaves JOIN tops ON tops.source IS NOT DISTINCT FROM leaves.source JOIN upper ON run = tops.pos // CAST(3 ** (lvl + 1) AS BIGINT)),
+steps AS (SELECT source, place, list({{'l': array_to_string(list_slice(h, 1, spot), ''), 'r': array_to_string(list_slice(h, spot + 2, len(h)), ''), 'all': ''}} ORDER BY lvl) AS way FROM up GROUP BY ALL),
+done AS (SELECT leaves.*, tops.subroot, (SELECT digest FROM u WHERE size = 1) AS root, coalesce(way, []) AS way, CASE WHEN tampered THEN spoilt ELSE leaf END AS checked
+  FROM leaves JOIN tops ON tops.source IS NOT DISTINCT FROM leaves.source LEFT JOIN steps ON steps.source IS NOT DISTINCT FROM leaves.source AND steps.place = leaves.pos),
+folded AS (SELECT *, list_reduce(list_prepend({{'l': '', 'r': '', 'all': checked}}, way), lambda x, s: {{'l': '', 'r': '', 'all': sha256(s.l || x['all'] || s.r)}})['all'] AS folded_root FROM done)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(way, lambda s: s.l || s.r), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM folded"""
+
+
+@query
+def op13_collocations(spark, d):
+    return collocations.mine(table(spark, d, "documents"))
+
+
+SQL["op13_collocations"] = r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS words FROM p),
+size AS (SELECT lang, CAST(sum(len(words)) AS HUGEINT) AS n FROM w GROUP BY 1),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase FROM w, range(1, 6) ks(k)),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT *, string_split(phrase, ' ') AS words FROM f WHERE k > 1),
+cut AS (SELECT c.*, j, array_to_string(words[1:j], ' ') AS one, array_to_string(words[j + 1:k], ' ') AS two FROM c, range(1, 5) js(j) WHERE j < c.k),
+s AS (SELECT cut.lang, cut.phrase, cut.a, j, x.a AS l, y.a AS r, n, 1000 * cut.a * n // (x.a * y.a) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = one JOIN f y ON y.lang = cut.lang AND y.phrase = two JOIN size ON size.lang = cut.lang),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS rn FROM s) WHERE rn = 1),
+held AS (SELECT DISTINCT x.lang, x.phrase FROM c x JOIN c y ON x.lang = y.lang AND y.k > x.k AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' ') AND y.a >= x.a),
+kept AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best ANTI JOIN held USING (lang, phrase))
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM kept WHERE rank <= 2000"""
