@@ -86,7 +86,8 @@ def variants(fp: Column, distance: int) -> Column:
 def _joined(left: np.ndarray, right: np.ndarray, lcomp: np.ndarray, rcomp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Links between two blocks that suffice to join what is linked: each member that is not yet of
     the component of those it reaches, with one of them."""
-    near = np.bitwise_count(left[:, None] ^ right[None, :]) <= distance
+    # Unsigned, as the bits of signed numbers are counted in their absolute values.
+    near = np.bitwise_count((left[:, None] ^ right[None, :]).view(np.uint64)) <= distance
     llabel, rlabel = lcomp.copy(), rcomp.copy()
     top = np.iinfo(np.int64).max
     while True:  # the smallest label spreads over the links between the blocks
@@ -123,6 +124,8 @@ def _compared(distance: int):
         for rows in groups():
             left = rows[:, rows[3] == 0]
             right = rows[:, rows[3] == 1] if (rows[3] == 1).any() else left
+            if not left.shape[1]:
+                continue
             a, b = _joined(left[4], right[4], left[5], right[5], distance)
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
