@@ -1,10 +1,12 @@
 """Similarity search between sequence tables by shared k-mers and ungapped diagonals.
 
-A hit is a pair that shares a k-mer, or at least ``containment`` percent of the query's distinct
-k-mers where that is asked. Such a pair must share one of the query's ``n - need + 1`` rarest k-mers (the prefix-filter
-principle of set-similarity joins), so only those are looked up: a k-mer common to a third of
-the references comes last in that order and is normally never probed, yet no pair is lost.
-Identical sequences are searched once and share the result.
+A hit is a pair that shares a k-mer and whose best diagonal scores higher than chance allows: its
+E-value, the number of such scores expected in references of that total length, is at most a given
+one. The least score that this asks for is known for each query before anything is aligned, and a
+seeded span shorter than that cannot reach it, so chance pairs are dropped without their letters.
+With ``containment`` a hit also shares that percentage of the query's distinct k-mers. Such a pair
+shares one of the query's ``n - need + 1`` rarest k-mers (the prefix-filter principle of set-similarity
+joins), so only those are looked up. Identical sequences are searched once and share the result.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from refpanel.session import materialize
 
 # Published Karlin-Altschul constants for match +1, mismatch -2.
 MATCH, MISMATCH, LAMBDA, KAPPA = 1, -2, 1.33, 0.621
+#: Hits expected by chance, at most, unless a search says otherwise.
+MAX_EVALUE = 0.001
 
 
 def needed(n, containment: int) -> Column:
@@ -27,18 +31,21 @@ def needed(n, containment: int) -> Column:
     return F.greatest(F.lit(1), F.floor((n * containment + 99) / 100).cast("int"))
 
 
-def guaranteed(n_kmers, length, identity: float, k: int) -> Column:
-    """Distinct k-mers that a sequence surely shares at an identity (0 to 1) over its whole length:
-    every mismatch takes at most ``k`` of them away. At least 1, the seed of any comparison."""
-    n_kmers, length = (F.col(c) if isinstance(c, str) else c for c in (n_kmers, length))
-    return F.greatest(F.lit(1), n_kmers - k * F.floor((1 - identity) * length + 1e-9)).cast("int")
-
-
 def bitscore(matches: Column, mismatches: Column) -> Column:
     raw = matches * MATCH + mismatches * MISMATCH
     return (raw * LAMBDA - math.log(KAPPA)) / math.log(2.0)
 
 
+def evalue(bits: Column, query_length: Column, total_length: Column) -> Column:
+    """Hits of ``bits`` or more expected by chance between a query and references of that length."""
+    return query_length * total_length * F.pow(F.lit(2.0), -bits)
+
+
+def least_score(query_length: Column, total_length: Column, max_evalue: float) -> Column:
+    """Raw score that an E-value of ``max_evalue`` takes; a little less, so that rounding loses nothing."""
+    return (F.log(query_length * total_length * KAPPA) - math.log(max_evalue)) / LAMBDA - 1e-6
+
+
 def distinct_sequences(seqs: DataFrame, group: list[str], k: int) -> tuple[DataFrame, DataFrame]:
     """One row per distinct sequence of a group, and the accession -> representative map.
 
@@ -92,12 +99,13 @@ def rare_probes(shared: DataFrame, group: list[str], need: Column) -> DataFrame:
     )
 
 
-def align_pairs(pairs: DataFrame | None, queries: DataFrame, refs: DataFrame, group: list[str], k: int) -> DataFrame:
+def align_pairs(pairs: DataFrame | None, queries: DataFrame, refs: DataFrame, group: list[str], k: int, max_evalue: float | None) -> DataFrame:
     """Best diagonal and identity of given pairs ``(group, q_id, r_id)``, or of all that share a k-mer.
 
     Seeds are first positions of shared k-mers; the diagonal (query minus reference position)
     with most seeds wins, the lowest on a tie. Residues are then compared along the seeded span
-    and along the whole overlap of that diagonal.
+    and along the whole overlap of that diagonal. ``refs`` has ``total``, the length of all
+    references that a query of its group meets.
     """
 
     def seeds(seqs: DataFrame, side: str) -> DataFrame:
@@ -120,10 +128,16 @@ def align_pairs(pairs: DataFrame | None, queries: DataFrame, refs: DataFrame, gr
     )
     rows = (
         best.select(*group, "q_id", "r_id", "shared", (-F.col("b.neg")).alias("seeds"), F.col("b.diag").alias("diag"), F.col("b._lo").alias("_lo"), F.col("b._hi").alias("_hi"))
-        .join(queries.select(*group, F.col("id").alias("q_id"), F.col("seq").alias("_q"), "n_kmers"), [*group, "q_id"])
+        .join(queries.select(*group, F.col("id").alias("q_id"), F.length("seq").alias("q_len"), "n_kmers"), [*group, "q_id"])
+        .join(refs.select(*group, F.col("id").alias("r_id"), F.length("seq").alias("r_len"), "total"), [*group, "r_id"])
+    )
+    if max_evalue is not None:
+        rows = rows.filter((F.col("_hi") - F.col("_lo") + k) * MATCH >= least_score(F.col("q_len"), F.col("total"), max_evalue))
+    # Only what can be significant meets its letters; stored, so that the plan knows how little that is.
+    rows = (
+        materialize(rows)
+        .join(queries.select(*group, F.col("id").alias("q_id"), F.col("seq").alias("_q")), [*group, "q_id"])
         .join(refs.select(*group, F.col("id").alias("r_id"), F.col("seq").alias("_r")), [*group, "r_id"])
-        .withColumn("q_len", F.length("_q"))
-        .withColumn("r_len", F.length("_r"))
     )
     start = F.greatest(F.lit(0), F.col("diag"))
     length = F.least(F.col("q_len"), F.col("r_len") + F.col("diag")) - start
@@ -133,16 +147,18 @@ def align_pairs(pairs: DataFrame | None, queries: DataFrame, refs: DataFrame, gr
     span = F.col("_hi") - F.col("_lo") + k
     rows = rows.withColumn("_same", same).withColumn("_start", start).withColumn("span", span)
     hits = lambda flags: F.size(F.filter(flags, lambda x: x))
-    return (
+    aligned = (
         rows.withColumn("matches", hits(F.slice("_same", F.col("_lo") - F.col("_start") + 1, F.col("span"))))
         .withColumn("overlap_matches", hits(F.col("_same")))
-        .select(*group, "q_id", "r_id", "n_kmers", "shared", "seeds", "diag", F.col("_lo").alias("q_start"), "span", "matches", "overlap_matches", "q_len", "r_len")
+        .select(*group, "q_id", "r_id", "n_kmers", "shared", "seeds", "diag", F.col("_lo").alias("q_start"), "span", "matches", "overlap_matches", "q_len", "r_len", "total")
         .withColumn("pident", F.col("matches") * 100.0 / F.col("span"))
         .withColumn("qcov", F.col("span") / F.col("q_len"))
         .withColumn("scov", F.col("span") / F.col("r_len"))
         .withColumn("identity", F.col("overlap_matches") / F.least("q_len", "r_len"))
         .withColumn("bitscore", bitscore(F.col("matches"), F.col("span") - F.col("matches")))
+        .withColumn("evalue", evalue(F.col("bitscore"), F.col("q_len"), F.col("total")))
     )
+    return aligned if max_evalue is None else aligned.filter(F.col("evalue") <= max_evalue)
 
 
 def candidate_pairs(q: DataFrame, r: DataFrame, group: list[str], k: int, containment: int) -> DataFrame:
@@ -166,41 +182,43 @@ def similarity_join(
     queries: DataFrame,
     refs: DataFrame,
     k: int = 5,
-    min_identity: float | None = None,
+    max_evalue: float | None = MAX_EVALUE,
     containment: int | None = None,
     same_family: bool = True,
 ) -> DataFrame:
-    """Best reference of each query, with identity, coverages and bitscore.
+    """Best significant reference of each query, with identity, coverages, bitscore and E-value.
 
     ``queries(family, accession, seq)``, ``refs(family, accession, seq)``. With ``same_family``
     a query meets references of its own family and gets its best one; otherwise it meets all
     and gets the best of each reference family. Ties go to the lowest accession. The result has
     at most one row per query and reference family, whatever the number of copies.
 
-    ``min_identity`` (a fraction) says that hits below it are of no interest. The identity of a hit
-    is that of its seeded span, which guarantees no share of all k-mers, so every reference that
-    shares a k-mer is compared. An explicit ``containment`` makes that share of the query's k-mers a condition of a hit.
+    ``max_evalue`` is the number of hits of a hit's score expected by chance among the distinct
+    references the query meets; None keeps every pair that shares a k-mer. An explicit
+    ``containment`` makes that percentage of the query's k-mers a further condition.
     """
-    exact = containment is None
     if same_family:
         group = ["family"]
         q, members = distinct_sequences(queries, group, k)
         r, _ = distinct_sequences(refs, group, k)
+        totals = materialize(r.groupBy("family").agg(F.sum(F.length("seq")).alias("total")))
+        r = r.join(totals, "family")
     else:
         group = []
         q, members = distinct_sequences(queries.select("accession", "seq"), group, k)
         r, _ = distinct_sequences(refs.select("family", "accession", "seq"), ["family"], k)
-        r = r.withColumn("id", F.struct("family", "id")).drop("family")
-    if exact:
-        hits = align_pairs(None, q, r, group, k)
+        total = r.agg(F.sum(F.length("seq")).alias("total")).first()["total"]
+        r = r.withColumn("id", F.struct("family", "id")).drop("family").withColumn("total", F.lit(total or 0).cast("long"))
+    if containment is None:
+        hits = align_pairs(None, q, r, group, k, max_evalue)
     else:
         pairs = materialize(candidate_pairs(q, r, group, k, containment))
-        hits = align_pairs(pairs, q, r, group, k).filter(F.col("shared") >= needed("n_kmers", containment))
+        hits = align_pairs(pairs, q, r, group, k, max_evalue).filter(F.col("shared") >= needed("n_kmers", containment))
     if same_family:
         hits = hits.withColumnRenamed("r_id", "subject_id")
     else:
         hits = hits.select("*", F.col("r_id.family").alias("family"), F.col("r_id.id").alias("subject_id")).drop("r_id")
-    payload = ["shared", "seeds", "diag", "q_start", "span", "matches", "q_len", "r_len", "pident", "qcov", "scov", "identity"]
+    payload = ["shared", "seeds", "diag", "q_start", "span", "matches", "q_len", "r_len", "pident", "qcov", "scov", "identity", "evalue"]
     best = hits.groupBy("family", "q_id").agg(F.min(F.struct((-F.col("bitscore")).alias("neg"), "subject_id", *payload)).alias("b"))
     best = best.select("family", "q_id", "b.*").withColumn("bitscore", -F.col("neg")).drop("neg")
     return members.withColumnRenamed("id", "q_id").join(best, [*group, "q_id"]).drop("q_id")

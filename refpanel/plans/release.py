@@ -13,6 +13,9 @@ from refpanel.operators.cluster import cluster_greedy
 from refpanel.session import materialize
 from refpanel.sources.tables import write_release
 
+#: Searches that feed a calibration keep weak hits too, since cutoffs lie among them.
+CALIBRATION_EVALUE = 10.0
+
 
 @dataclass
 class Release:
@@ -72,7 +75,7 @@ def build_release(
 
     negatives = raw.filter("label = 'negative'")
     positives = raw.filter("label = 'positive'")
-    hits = similarity.similarity_join(negatives, positives, k, qc.PURITY_THRESHOLD / 100)
+    hits = similarity.similarity_join(negatives, positives, k)
     checked = materialize(qc.negative_purity(negatives, hits))
     pure = positives.unionByName(checked.filter("not flagged").select(*raw.columns))
 
@@ -83,7 +86,7 @@ def build_release(
     if extra is not None:
         added, manifest = qc.add_extra_positives(kept.filter("label = 'positive'"), extra)
         kept = kept.unionByName(added.select(*raw.columns))
-    clusters = cluster_greedy(kept, min_identity, k)
+    clusters = cluster_greedy(kept, min_identity)
     unique = materialize(kept.join(
         clusters.filter("accession = representative").select("family", "label", "accession"), ["family", "label", "accession"], "left_semi"
     ))
@@ -102,7 +105,7 @@ def build_release(
     tested = parts.filter("label = 'positive' and split = 'test'").select(*raw.columns)
     untested = unique.filter("label = 'positive'").join(materialize(tested.select("family").distinct()), "family", "left_anti")
     queries = tested.unionByName(untested.select(*raw.columns)).unionByName(unique.filter("label = 'negative'").select(*raw.columns))
-    found = similarity.similarity_join(queries.select("family", "accession", "seq"), searchable, k)
+    found = similarity.similarity_join(queries.select("family", "accession", "seq"), searchable, k, CALIBRATION_EVALUE)
     scores = calibrate.restricted_best(
         queries.select("family", "label", F.col("accession").alias("query_id")),
         found.select("family", F.col("accession").alias("query_id"), "bitscore"),

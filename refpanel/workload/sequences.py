@@ -48,8 +48,8 @@ def seed_index(spark, d):
 _BITS = f"((matches * {sim.MATCH} + (span - matches) * ({sim.MISMATCH})) * CAST('{sim.LAMBDA!r}' AS DOUBLE) - CAST('{math.log(sim.KAPPA)!r}' AS DOUBLE)) / CAST('{math.log(2.0)!r}' AS DOUBLE)"
 
 
-def similarity_sql(q: str, r: str, same_family: bool) -> str:
-    """All pairs that share a k-mer, counted without any filter: the brute-force definition."""
+def similarity_sql(q: str, r: str, same_family: bool, max_evalue: float = sim.MAX_EVALUE) -> str:
+    """All pairs that share a k-mer, aligned without any filter: the brute-force definition."""
     g = "family, " if same_family else ""
     on = "qk.family = rk.family AND " if same_family else ""
     fam = "qk.family" if same_family else "rk.family"
@@ -66,14 +66,16 @@ al AS (SELECT bd.family, qid, rid, shared, b.n AS seeds, b.diag AS diag, b.lo AS
   FROM bd JOIN nq ON nq.id = qid {'AND nq.family = bd.family' if same_family else ''} JOIN qd ON qd.id = qid {'AND qd.family = bd.family' if same_family else ''}
   JOIN rd ON rd.id = rid AND rd.family = bd.family),
 hit AS (SELECT *, len(list_filter(list_zip(qa, ra), lambda x: x[1] = x[2])) AS matches FROM al),
-sc AS (SELECT *, {_BITS} AS bitscore FROM hit),
+tot AS (SELECT {"family, " if same_family else ""}CAST(sum(length(seq)) AS BIGINT) AS total FROM rd {"GROUP BY 1" if same_family else ""}),
+sb AS (SELECT *, {_BITS} AS bitscore FROM hit),
+sc AS (SELECT *, q_len * total * pow(CAST(2.0 AS DOUBLE), -bitscore) AS evalue FROM sb {"JOIN tot USING (family)" if same_family else "CROSS JOIN tot"} WHERE q_len * total * pow(CAST(2.0 AS DOUBLE), -bitscore) <= {max_evalue!r}),
 top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY family, qid ORDER BY bitscore DESC, rid) AS rn FROM sc) WHERE rn = 1),
 sim AS (SELECT t.family, qm.accession, t.rid AS subject_id, CAST(shared AS BIGINT) AS shared, CAST(diag AS INTEGER) AS diag, CAST(q_start AS INTEGER) AS q_start,
-    CAST(span AS INTEGER) AS span, CAST(matches AS INTEGER) AS matches, matches * 100.0 / CAST(span AS DOUBLE) AS pident, span / CAST(q_len AS DOUBLE) AS qcov, span / CAST(r_len AS DOUBLE) AS scov, bitscore
+    CAST(span AS INTEGER) AS span, CAST(matches AS INTEGER) AS matches, matches * 100.0 / CAST(span AS DOUBLE) AS pident, span / CAST(q_len AS DOUBLE) AS qcov, span / CAST(r_len AS DOUBLE) AS scov, bitscore, evalue
   FROM qm JOIN top t ON qm.id = t.qid {'AND qm.family = t.family' if same_family else ''})"""
 
 
-_SIM_COLUMNS = ["family", "accession", "subject_id", "shared", "diag", "q_start", "span", "matches", "pident", "qcov", "scov", "bitscore"]
+_SIM_COLUMNS = ["family", "accession", "subject_id", "shared", "diag", "q_start", "span", "matches", "pident", "qcov", "scov", "bitscore", "evalue"]
 
 
 def _items(spark, d):
@@ -83,10 +85,10 @@ def _items(spark, d):
 _ITEMS = "items AS (SELECT CAST(item_id AS VARCHAR) AS accession, text AS seq FROM benchmark)"
 
 
-@query("similarity_join", f"WITH {s.DOC_SEQS}, {_ITEMS}, {similarity_sql('items', 'seqs', False)} SELECT * FROM sim")
+@query("similarity_join", f"WITH {s.DOC_SEQS}, {_ITEMS}, {similarity_sql('items', 'seqs', False)} SELECT * REPLACE (round(evalue, 9) AS evalue) FROM sim")
 def similarity_join(spark, d):
     docs = s.doc_sequences(spark, d).select("family", "accession", "seq")
-    return sim.similarity_join(_items(spark, d), docs, K, same_family=False).select(*_SIM_COLUMNS)
+    return sim.similarity_join(_items(spark, d), docs, K, same_family=False).select(*_SIM_COLUMNS).withColumn("evalue", F.round("evalue", 9))
 
 
 _PURITY = f"""WITH {s.DOC_SEQS}, negs AS (SELECT family, accession, seq FROM seqs WHERE label = 'negative'), poss AS (SELECT family, accession, seq FROM seqs WHERE label = 'positive'),
@@ -97,7 +99,7 @@ checked AS (SELECT n.family, n.accession, coalesce(pident, 0.0) AS max_pident, c
 def _checked(spark, d):
     seqs = s.doc_sequences(spark, d).select("family", "label", "accession", "seq")
     negatives = seqs.filter("label = 'negative'")
-    hits = sim.similarity_join(negatives, seqs.filter("label = 'positive'"), K, qc.PURITY_THRESHOLD / 100)
+    hits = sim.similarity_join(negatives, seqs.filter("label = 'positive'"), K)
     return qc.negative_purity(negatives, hits)
 
 
@@ -117,9 +119,29 @@ def worst_impurity(spark, d):
     return qc.worst_impurity(_checked(spark, d))
 
 
-@query("cluster_greedy")
+# Every pair that agrees in a word of eight letters, or shorter ones in short sequences, is compared
+# on that diagonal; then one sequence after the other.
+_CLUSTER = """nd AS (SELECT *, length(seq) AS len, CAST(floor((1 - CAST(0.9 AS DOUBLE)) * length(seq) + 1e-9) AS BIGINT) AS x FROM (SELECT family, label, min(accession) AS id, any_value(seq) AS seq FROM seqs GROUP BY family, label, md5(seq))),
+big AS (SELECT family, label FROM seqs GROUP BY 1, 2 HAVING count(*) >= 5),
+nn AS MATERIALIZED (SELECT nd.*, list_max(list_filter(range(1, 9), lambda j: len // j > x)) AS k, row_number() OVER (PARTITION BY family, label ORDER BY len DESC, id) AS n FROM nd JOIN big USING (family, label)),
+qw AS (SELECT family, label, n, k, k * (i - 1) AS pos, substr(seq, k * (i - 1) + 1, k) AS w FROM (SELECT *, unnest(range(1, len // k + 1)) AS i FROM nn)),
+ks AS (SELECT DISTINCT k FROM nn WHERE k IS NOT NULL),
+rw AS (SELECT family, label, n, k, i - 1 AS pos, substr(seq, i, k) AS w FROM (SELECT nn.* EXCLUDE (k), ks.k, unnest(range(1, len - ks.k + 2)) AS i FROM nn CROSS JOIN ks)),
+met AS (SELECT qw.family, qw.label, qw.n AS q, rw.n AS r, qw.pos - rw.pos AS diag, count(*) AS c FROM qw JOIN rw ON qw.family = rw.family AND qw.label = rw.label AND qw.k = rw.k AND qw.w = rw.w AND rw.n < qw.n GROUP BY ALL),
+al AS (SELECT met.family, met.label, q, r, a.len, string_split(substr(a.seq, greatest(0, diag) + 1, least(a.len, b.len + diag) - greatest(0, diag)), '') AS qa, string_split(substr(b.seq, greatest(0, diag) - diag + 1, least(a.len, b.len + diag) - greatest(0, diag)), '') AS ra
+  FROM met JOIN nn a ON a.family = met.family AND a.label = met.label AND a.n = q JOIN nn b ON b.family = met.family AND b.label = met.label AND b.n = r WHERE c >= a.len // a.k - a.x),
+near AS MATERIALIZED (SELECT DISTINCT family, label, q, r FROM al WHERE len(list_filter(list_zip(qa, ra), lambda z: z[1] = z[2])) / CAST(len AS DOUBLE) >= 0.9),
+before AS MATERIALIZED (SELECT nn.family, nn.label, nn.n, list(r ORDER BY r) FILTER (r IS NOT NULL) AS earlier FROM nn LEFT JOIN near ON near.family = nn.family AND near.label = nn.label AND q = nn.n GROUP BY ALL),
+walk(family, label, n, reps, owner) AS (SELECT family, label, 0, CAST([] AS BIGINT[]), CAST(0 AS BIGINT) FROM big
+  UNION ALL SELECT w.family, w.label, w.n + 1, CASE WHEN list_has_any(coalesce(b.earlier, []), w.reps) THEN w.reps ELSE list_append(w.reps, w.n + 1) END,
+    coalesce(list_min(list_intersect(coalesce(b.earlier, []), w.reps)), w.n + 1) FROM walk w JOIN before b ON b.family = w.family AND b.label = w.label AND b.n = w.n + 1)"""
+
+
+@query("cluster_greedy", f"""WITH RECURSIVE {s.DOC_SEQS}, {_CLUSTER}
+SELECT s.family, s.label, s.accession, coalesce(o.id, s.accession) AS representative FROM seqs s LEFT JOIN nn a ON a.family = s.family AND a.label = s.label AND a.seq = s.seq
+LEFT JOIN walk ON walk.family = a.family AND walk.label = a.label AND walk.n = a.n LEFT JOIN nn o ON o.family = a.family AND o.label = a.label AND o.n = walk.owner""")
 def cluster(spark, d):
-    return cluster_greedy(s.doc_sequences(spark, d), k=K)
+    return cluster_greedy(s.doc_sequences(spark, d))
 
 
 # --- alignments ----------------------------------------------------------------------------

@@ -1,12 +1,15 @@
+import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from refpanel.operators import alignment as aln
+from refpanel.operators import qc
 from refpanel.operators import reads as rd
 from refpanel.operators import regions as rg
 from refpanel.operators.cluster import cluster_greedy
-from refpanel.operators.similarity import similarity_join
+from refpanel.operators.similarity import bitscore, evalue, least_score, similarity_join
 
 
 def mutate(rng, seq, rate, letters="ACDEFGHIKLMNPQRSTVWY"):
@@ -48,7 +51,7 @@ def proteins():
 def test_similarity_join_equals_brute_force(spark, proteins):
     queries, refs = proteins[::2], proteins[1::2]
     frame = lambda rows: spark.createDataFrame(rows, "family string, accession string, seq string")
-    got = {r.accession: (r.family, round(r.pident, 6)) for r in similarity_join(frame(queries), frame(refs), k=5, containment=40).collect()}
+    got = {r.accession: (r.family, round(r.pident, 6)) for r in similarity_join(frame(queries), frame(refs), k=5, max_evalue=None, containment=40).collect()}
     found = set()
     for f, acc, seq in queries:
         hits = [align(seq, s, 5) for g, _, s in refs if g == f]
@@ -59,46 +62,75 @@ def test_similarity_join_equals_brute_force(spark, proteins):
     assert found == set(got)
 
 
-def test_cluster_greedy_equals_sequential(spark, proteins):
-    rows = [(f, "positive", a, s) for f, a, s in proteins] + [("C", "positive", f"c{i}", "ACDEF" * 3) for i in range(4)]
-    df = spark.createDataFrame(rows, "family string, label string, accession string, seq string")
-    got = {r.accession: r.representative for r in cluster_greedy(df, 0.9, k=5).collect()}
-    assert got.pop("c0") == "c0" and all(got.pop(f"c{i}") == f"c{i}" for i in (1, 2, 3))  # four rows stay as they are
-    want = {}
-    for f in "AB":
-        reps = []
-        for _, acc, seq in sorted((r for r in proteins if r[0] == f), key=lambda r: (-len(r[2]), r[1])):
-            for racc, rseq in reps:
-                h = align(seq, rseq, 5)
-                if h and h["shared"] * 100 >= 50 * h["n"] and h["identity"] >= 0.9:
-                    want[acc] = racc
-                    break
-            else:
-                reps.append((acc, seq))
-                want[acc] = acc
-    assert got == want
-
-
-@pytest.mark.parametrize("k", [5, 16])
-def test_cluster_greedy_keeps_spread_mismatches(spark, k):
-    """Pairs at 90 to 95 % identity cluster, whatever share of their k-mers the mismatches leave."""
+def near(q, r, identity):
+    """Whether ``identity`` of ``q`` matches ``r`` on some diagonal."""
+    allowed = int((1 - identity) * len(q) + 1e-9) if q else -1  # an empty one is like no other
+    for diag in range(-allowed, len(r) - len(q) + allowed + 1):
+        spoilt = max(0, -diag) + max(0, diag + len(q) - len(r))
+        for i in range(max(0, -diag), min(len(q), len(r) - diag)):
+            spoilt += q[i] != r[i + diag]
+            if spoilt > allowed:
+                break
+        if spoilt <= allowed:
+            return True
+    return False
+
+
+def sequential(rows, identity):
+    """Representative of each of ``(group, accession, seq)``, one sequence after the other."""
+    owner = {}
+    for f in {r[0] for r in rows}:
+        mine, reps = sorted((r for r in rows if r[0] == f), key=lambda r: (-len(r[2]), r[1])), []
+        for _, acc, seq in mine:
+            owner[acc] = next((a for a, s in reps if near(seq, s, identity)), acc) if len(mine) >= 5 else acc
+            reps += [(acc, seq)] if owner[acc] == acc else []
+    return owner
+
+
+def clustered(spark, rows, *args, **kwargs):
+    df = spark.createDataFrame([(f, "positive", a, s) for f, a, s in rows], "family string, label string, accession string, seq string")
+    return {r.accession: r.representative for r in cluster_greedy(df, *args, **kwargs).collect()}
+
+
+@pytest.mark.parametrize("identity,k", [(0.9, 8), (0.7, 5)])
+def test_cluster_greedy_equals_sequential(spark, proteins, identity, k):
+    """Copies, a passage in a third of the rows, very short sequences, a group that is too small."""
+    rows = proteins + [("C", f"c{i}", "ACDEF" * 3) for i in range(4)]
+    rows += [("S", f"s{i:02d}", s) for i, s in enumerate(["A", "C", "AC", "CA", "ACD", "ACDEFGHIKL", "ACDEFGHIKV", "VCDEFGHIKL", "CDEFGHIKL", "", "ACDEFGHIKLMNPQRSTVWYACDEFGHIKL"])]
+    assert clustered(spark, rows, identity, k=k) == sequential(rows, identity)
+
+
+def test_cluster_greedy_keeps_spread_mismatches(spark):
+    """Pairs at 90 % identity cluster however their mismatches lie, those just below do not."""
     rng, rows = random.Random(5), []
     letters = "ACDEFGHIKLMNPQRSTVWY"
-    for i in range(12):
+    for i in range(14):
         base = [rng.choice(letters) for _ in range(300)]
-        other, n = base[:], 15 + i * 15 // 11
-        for j in range(n):
-            p = 40 + j * 250 // n  # the start stays as a seed
+        other, n = base[:], 29 + i % 3
+        for p in [j * 300 // n for j in range(n)] if i < 7 else rng.sample(range(300), n):
             other[p] = letters[(letters.index(other[p]) + 1) % 20]
-        rows += [("f", "positive", f"a{i:02d}", "".join(base)), ("f", "positive", f"b{i:02d}", "".join(other))]
-    df = spark.createDataFrame(rows, "family string, label string, accession string, seq string")
-    got = {r.accession: r.representative for r in cluster_greedy(df, 0.9, k=k).collect()}
-    want, reps = {}, []
-    for _, _, acc, seq in sorted(rows, key=lambda r: (-len(r[3]), r[2])):
-        owner = next((a for a, s in reps if (h := align(seq, s, k)) and h["identity"] >= 0.9), acc)
-        reps += [(acc, seq)] if owner == acc else []
-        want[acc] = owner
-    assert got == want and len(set(want.values())) == 12
+        rows += [("f", f"a{i:02d}", "".join(base)), ("f", f"b{i:02d}", "".join(other))]
+    got = clustered(spark, rows)
+    assert got == sequential(rows, 0.9)
+    assert {a for a, r in got.items() if a != r} == {f"b{i:02d}" for i in range(14) if i % 3 < 2}
+
+
+def test_cluster_greedy_chains_and_large_groups(spark):
+    """A chain of sequences of which only neighbours are similar, and many variants of one."""
+    rng, letters, rows = random.Random(3), "ACDEFGHIKLMNPQRSTVWY", []
+    seq = [rng.choice(letters) for _ in range(120)]
+    order = list(range(120))
+    for i in range(40):
+        for p in (order * 20)[i * 8 : i * 8 + 8]:
+            seq[p] = letters[(letters.index(seq[p]) + 1) % 20]
+        rows.append(("chain", f"h{i:03d}", "".join(seq)))
+    base = [rng.choice(letters) for _ in range(200)]
+    for i in range(150):
+        other = base[: rng.randint(195, 200)]
+        for p in rng.sample(range(190), rng.randint(0, 15)):
+            other[p] = rng.choice(letters)
+        rows.append(("dense", f"d{i:03d}", "".join(other)))
+    assert clustered(spark, rows) == sequential(rows, 0.9)
 
 
 CONTIG = "contig_id string, family string, label string, accession string, seq string"
@@ -172,18 +204,27 @@ def test_location_compares_characters_as_they_are(spark):
     assert got == {c[0]: c[3] for c in cuts}
 
 
-def test_similar_pairs_are_found_at_any_identity(spark):
-    """Negatives at 70 to 85 % identity are all found; the k-mer share is no condition."""
-    rng = random.Random(8)
-    base = "".join(rng.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(300))
-    queries = []
+def test_purity_flags_similar_and_spares_unrelated_negatives(spark):
+    """Negatives at 70 to 100 % identity are flagged, unrelated ones of ordinary length are not."""
+    rng, letters = random.Random(8), "ACDEFGHIKLMNPQRSTVWY"
+    draw = lambda: "".join(rng.choice(letters) for _ in range(300))
+    positives = [("f", f"p{i:03d}", draw()) for i in range(300)]
+    negatives = [("f", f"n{i:02d}", draw()) for i in range(60)]
     for i in range(40):
-        seq = list(base)
-        for p in rng.sample(range(300), rng.randint(45, 90)):
-            seq[p] = rng.choice("ACDEFGHIKLMNPQRSTVWY")
-        queries.append(("f", f"q{i}", "".join(seq)))
+        seq = list(positives[i][2])
+        for p in rng.sample(range(5, 295), i * 85 // 39):  # the identity between the outer seeds is 70 % or more
+            seq[p] = letters[(letters.index(seq[p]) + 1) % 20]
+        negatives.append(("f", f"s{i:02d}", "".join(seq)))
     frame = lambda rows: spark.createDataFrame(rows, "family string, accession string, seq string")
-    refs = frame([("f", "base", base)])
-    seeded = {a for _, a, s in queries if any(s[p : p + 5] in base for p in range(296))}
-    assert {r.accession for r in similarity_join(frame(queries), refs).collect()} == seeded
-    assert {r.accession for r in similarity_join(frame(queries), refs, min_identity=0.7).collect()} == seeded
+    hits = similarity_join(frame(negatives), frame(positives))
+    flagged = {r.accession for r in qc.negative_purity(frame(negatives), hits).filter("flagged").collect()}
+    assert flagged == {f"s{i:02d}" for i in range(40)}
+    assert all(r.evalue <= 0.001 for r in hits.collect())
+    weak = similarity_join(frame(negatives), frame(positives), max_evalue=None)
+    assert weak.filter("accession like 'n%' and pident = 100").count() > 30  # chance hits, which the cut is for
+
+
+def test_evalue(spark):
+    row = spark.range(1).select(evalue(bitscore(F.lit(40), F.lit(2)), F.lit(100.0), F.lit(90_000.0)), least_score(F.lit(100.0), F.lit(90_000.0), 1e-3)).first()
+    assert row[0] == pytest.approx(0.621 * 100 * 90_000 * math.exp(-1.33 * 36))
+    assert 0.621 * 100 * 90_000 * math.exp(-1.33 * row[1]) == pytest.approx(1e-3, rel=1e-4)
