@@ -26,8 +26,10 @@ BITS = 64
 SEED = 42
 #: Shingles hashed together, which bounds what one very long text takes.
 HASHED = 65_536
-#: Members of a bucket that are compared at once, two blocks at a time.
-BLOCK = 2_048
+#: Members of a bucket that one task compares; larger buckets are dealt into blocks of half as many.
+BUCKET = 16_384
+#: Members whose distances are in memory at once, squared.
+TILE = 2_048
 
 
 def fingerprint(text: bytes, width: int) -> int:
@@ -83,85 +85,99 @@ def variants(fp: Column, distance: int) -> Column:
     return F.array(*keys)
 
 
-def _joined(left: np.ndarray, right: np.ndarray, lcomp: np.ndarray, rcomp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between two blocks that suffice to join what is linked: each member that is not yet of
-    the component of those it reaches, with one of them."""
+def _spread(left: np.ndarray, right: np.ndarray, llabel: np.ndarray, rlabel: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest label that each member reaches over the links between ``left`` and ``right``."""
     # Unsigned, as the bits of signed numbers are counted in their absolute values.
     near = np.bitwise_count((left[:, None] ^ right[None, :]).view(np.uint64)) <= distance
-    llabel, rlabel = lcomp.copy(), rcomp.copy()
     top = np.iinfo(np.int64).max
-    while True:  # the smallest label spreads over the links between the blocks
+    while True:
         new_r = np.minimum(rlabel, np.where(near, llabel[:, None], top).min(axis=0))
         new_l = np.minimum(llabel, np.where(near, new_r[None, :], top).min(axis=1))
         if (new_l == llabel).all() and (new_r == rlabel).all():
-            break
+            return llabel, rlabel
         llabel, rlabel = new_l, new_r
-    node, label, comp = np.concatenate([left, right]), np.concatenate([llabel, rlabel]), np.concatenate([lcomp, rcomp])
-    moved = label != comp
-    home = {int(c): n for n, c in zip(node[~moved], comp[~moved])}  # a member that carries the label already
-    pairs = {(int(a), int(home[int(c)])) for a, c in zip(node[moved], label[moved])}
-    ends = np.array(sorted(pairs), np.int64).reshape(-1, 2)
-    return ends[:, 0], ends[:, 1]
 
 
-def _compared(distance: int):
-    """Streams rows (key, one, two, side, fp, comp) sorted by block pair; yields links (a, b)."""
+def bucket_labels(fps: np.ndarray, distance: int) -> np.ndarray:
+    """For each member of a bucket the first member that links within the bucket reach, from
+    comparing all with all, tile by tile; tiles of one component are not compared again."""
+    label = np.arange(len(fps))
+    top = label.copy()
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-
-        def groups():
-            nonlocal held
-            for batch in batches:
-                rows = np.stack([batch.column(k).to_numpy() for k in range(6)]) if batch.num_rows else np.empty((6, 0), np.int64)
-                rows = rows if held is None else np.concatenate([held, rows], axis=1)
-                cuts = np.flatnonzero((np.diff(rows[:3], axis=1) != 0).any(axis=0)) + 1
-                *whole, held = np.split(rows, cuts, axis=1)
-                yield from whole
-            if held is not None and held.shape[1]:
-                yield held
-
-        for rows in groups():
-            left = rows[:, rows[3] == 0]
-            right = rows[:, rows[3] == 1] if (rows[3] == 1).any() else left
-            if not left.shape[1]:
+    def find(x: int) -> int:
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for i in range(0, len(fps), TILE):
+        for j in range(i, len(fps), TILE):
+            one, two = slice(i, i + TILE), slice(j, j + TILE)
+            old = np.concatenate([label[one], label[two]])
+            if (old == old[0]).all():
                 continue
-            a, b = _joined(left[4], right[4], left[5], right[5], distance)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            new = np.concatenate(_spread(fps[one], fps[two], label[one], label[two], distance))
+            for a, b in np.unique(np.stack([old, new])[:, old != new], axis=1).T.tolist():
+                a, b = find(a), find(b)
+                top[max(a, b)] = min(a, b)
+            while (top[top] != top).any():
+                top = top[top]
+            label = top[label]
+    return label
 
-    return compare
 
+def _compared(distance: int):
+    """Streams rows (key, one, two, fp) sorted by bucket; yields links (a, b) that join the members
+    of each bucket as all its links do, at most one for each member."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.empty((4, 0), np.int64)
+
+        def linked(rows: np.ndarray) -> pa.RecordBatch:
+            cuts = np.flatnonzero((np.diff(rows[:3], axis=1) != 0).any(axis=0)) + 1
+            starts = np.concatenate([[0], cuts])
+            sizes = np.diff(np.concatenate([starts, [rows.shape[1]]]))
+            pairs = starts[sizes == 2]
+            near = np.bitwise_count((rows[3][pairs] ^ rows[3][pairs + 1]).view(np.uint64)) <= distance
+            a, b = [rows[3][pairs[near] + 1]], [rows[3][pairs[near]]]
+            for k in np.flatnonzero(sizes > 2):
+                fps = rows[3][starts[k] : starts[k] + sizes[k]]
+                label = bucket_labels(fps, distance)
+                moved = np.flatnonzero(label != np.arange(len(fps)))
+                a.append(fps[moved])
+                b.append(fps[label[moved]])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b)], ["a", "b"])
 
-def _remaining(rows: DataFrame, distance: int) -> DataFrame:
-    """Links between members (key, fp, comp) of buckets, all compared with all inside the tasks.
+        for batch in batches:
+            rows = np.concatenate([held, np.stack([batch.column(k).to_numpy() for k in range(4)])], axis=1)
+            if not rows.shape[1]:
+                continue
+            last = int(np.flatnonzero((rows[:3] != rows[:3, -1:]).any(axis=0)).max(initial=-1)) + 1
+            whole, held = rows[:, :last], rows[:, last:]  # the last bucket may go on
+            if last:
+                yield linked(whole)
+        if held.shape[1]:
+            yield linked(held)
 
-    A bucket beyond ``BLOCK`` members is dealt into blocks, and two blocks meet in one task, so no
-    task holds more than two blocks of a bucket and no pair is a row of a table."""
-    sizes = store(rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts")), "sizes")
-    mine = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("parts")))
-    meets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda k: F.struct(F.least("block", k).alias("one"), F.greatest("block", k).alias("two"), (F.col("block") > k).cast("long").alias("side")))
-    dealt = mine.select("key", F.explode(meets).alias("m"), "fp", "comp").select("key", "m.one", "m.two", "m.side", "fp", "comp")
-    dealt = dealt.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
-    return dealt.mapInArrow(_compared(distance), "a long, b long")
+    return compare
 
 
 def links(fps: DataFrame, distance: int) -> DataFrame:
     """(node, root): components of the distinct fingerprints (fp) that some link touches.
 
-    Every bucket first compares its members with one of them, its hub: as many comparisons as
-    members, which settles pairs and ordinary groups of copies. Buckets of three or more that still
-    hold several components are compared exhaustively, in blocks."""
+    The rows of a bucket meet in one task, which compares them where they lie: neither candidates
+    nor pairs become rows of a table. A bucket of more than ``BUCKET`` members is dealt into
+    blocks, of which every two meet in one task."""
     rows = fps.select("fp", F.explode(variants(F.col("fp"), distance)).alias("key"))
-    buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("hub")).filter("n > 1")
-    members = store(rows.join(store(buckets, "buckets"), "key"), "members")
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= distance
-    stars = components(members.filter((F.col("fp") != F.col("hub")) & near).select(F.col("hub").alias("a"), F.col("fp").alias("b")))
-    open_rows = members.filter("n > 2").select("key", "fp").join(stars.withColumnRenamed("root", "comp"), F.col("fp") == F.col("node"), "left")
-    open_rows = store(open_rows.select("key", "fp", F.coalesce("comp", "fp").alias("comp")), "open")
-    mixed = open_rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-    rest = store(_remaining(open_rows.join(mixed, "key", "left_semi"), distance), "links")
-    return components(rest.unionByName(stars.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BUCKET)
+    hot = store(sizes.select("key", F.ceil(2 * F.col("n") / BUCKET).alias("parts")), "hot")
+    zero = F.lit(0).cast("long")
+    ordinary = rows.join(hot, "key", "left_anti").select("key", zero.alias("one"), zero.alias("two"), "fp")
+    dealt = rows.join(hot, "key").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("parts")))
+    others = F.filter(F.sequence(zero, F.col("parts") - 1), lambda k: k != F.col("block"))
+    dealt = dealt.select("key", "block", "fp", F.explode(others).alias("other"))
+    dealt = dealt.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "fp")
+    met = ordinary.unionByName(dealt).repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
+    return components(store(met.mapInArrow(_compared(distance), "a long, b long"), "links"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -35,10 +35,11 @@ def test_segments_leave_one_bit():
         assert len(found) == 1 or distance // (len(found) - 1) > 1
 
 
-@pytest.mark.parametrize("distance,block", [(4, 2048), (6, 2048), (1, 8), (4, 8), (0, 8)])
-def test_fingerprint_links(spark, monkeypatch, distance, block):
-    """Every pair within the distance, in dense groups, chains and noise; small blocks take block pairs."""
-    monkeypatch.setattr(simhash, "BLOCK", block)
+@pytest.mark.parametrize("distance,bucket,tile", [(4, 10**4, 2048), (6, 10**4, 7), (1, 8, 3), (4, 8, 2048), (0, 8, 8)])
+def test_fingerprint_links(spark, monkeypatch, distance, bucket, tile):
+    """Every pair within the distance, in dense groups, chains and noise; small buckets take blocks."""
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    monkeypatch.setattr(simhash, "TILE", tile)
     draw = random.Random(distance)
     flip = lambda x, n: x ^ sum(1 << b for b in draw.sample(range(64), n))
     fps = {draw.getrandbits(64) for _ in range(150)} | {0}
