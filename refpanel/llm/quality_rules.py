@@ -15,16 +15,17 @@ from refpanel.llm.common import Cache, hash_cache, store, texts_of
 SYMBOLS = b"#*$%&|<>"
 #: Quantile sketch size: rank error about 1 %.
 SKETCH_K = 400
-#: How far beyond its group's third quartile a value may lie, in quartile distances, and the least
-#: distance, as a count in a text of the group's median length: no share is finer than one word, and
-#: the least repetition takes six. In order: name, distances, least count.
-UPPER_RULES = (
-    ("symbols_per_word", 6.0, 1),
-    ("repeated_share", 6.0, 6),
-    ("dup_line_share", 6.0, 1),
-    ("shouting_share", 6.0, 1),
-    ("word_chars_mean", 4.0, 1),
+#: Traits that few texts show, bounded by a multiple of a high quantile of their group, and the least
+#: bound as a count in a text of the group's median length: no share is finer than one word, and the
+#: least repetition takes six. Name, quantile, multiple, least count.
+TAIL_RULES = (
+    ("symbols_per_word", 0.98, 2.0, 1),
+    ("repeated_share", 0.98, 2.0, 6),
+    ("dup_line_share", 0.98, 2.0, 1),
+    ("shouting_share", 0.98, 2.0, 1),
 )
+#: Distances between its group's quartiles that the mean word length may lie below and above them.
+WORD_FENCE = (3.0, 4.0)
 _GRAM = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -79,17 +80,30 @@ def _ratios() -> dict[str, Column]:
     }
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
 def thresholds(measured: DataFrame, group_cols: list[str], k: int = SKETCH_K) -> DataFrame:
-    """One row per group with an upper bound for each ratio: the third quartile plus some quartile
-    distances, both read from sketches that tasks build over their rows and merge by group. A
-    distance of zero is widened to a count in a text of the group's median length."""
+    """One row per group with the bounds ``max_`` of each ratio and ``min_word_chars_mean``, read from
+    sketches that tasks build over their rows and merge by group.
+
+    Rows that fail the base rule are not part of the sketches, so what a group calls usual does not
+    depend on how much of that it holds. ``floor_`` tells where the least count was the bound."""
     ratios = _ratios()
-    sketches = [F.kll_sketch_agg_double(ratios[r], F.lit(k)).alias(r) for r, *_ in UPPER_RULES]
+    names = [r for r, *_ in TAIL_RULES] + ["word_chars_mean"]
+    sketches = [F.kll_sketch_agg_double(ratios[r], F.lit(k)).alias(r) for r in names]
     sketches.append(F.kll_sketch_agg_double(F.col("n_words").cast("double"), F.lit(k)).alias("_words"))
     at = lambda r, q: F.kll_sketch_get_quantile_double(r, F.lit(q))
-    one = F.lit(1.0) / F.greatest(at("_words", 0.5), F.lit(1.0))
-    bounds = [(at(r, 0.75) + far * F.greatest(at(r, 0.75) - at(r, 0.25), least * one)).alias(f"max_{r}") for r, far, least in UPPER_RULES]
-    return measured.groupBy(*group_cols).agg(*sketches).select(*group_cols, *bounds)
+    one = F.lit(1.0) / at("_words", 0.5)
+    bounds = []
+    for r, quantile, times, least in TAIL_RULES:
+        bounds.append(F.greatest(times * at(r, quantile), least * one).alias(f"max_{r}"))
+        bounds.append((times * at(r, quantile) < least * one).alias(f"floor_{r}"))
+    low, high = at("word_chars_mean", 0.25), at("word_chars_mean", 0.75)
+    spread = F.greatest(high - low, one)
+    bounds += [(low - WORD_FENCE[0] * spread).alias("min_word_chars_mean"), (high + WORD_FENCE[1] * spread).alias("max_word_chars_mean")]
+    return measured.filter(~_base_failed()).groupBy(*group_cols).agg(*sketches).select(*group_cols, *bounds)
 
 
 def filter_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_cols: tuple[str, ...] = ("lang", "source")) -> DataFrame:
@@ -103,10 +117,10 @@ def filter_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bounds = store(thresholds(measured, keys), "bounds")
     renamed = bounds.select(*(F.col(c).alias(f"{c}b") for c in keys), *(c for c in bounds.columns if c not in keys))
     same = [F.col(c).eqNullSafe(F.col(f"{c}b")) for c in keys]
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     within = F.lit(True)
     for r, column in _ratios().items():
         within = within & (column <= F.col(f"max_{r}"))
+    within = within & (_ratios()["word_chars_mean"] >= F.col("min_word_chars_mean"))
     return measured.join(renamed, same, "left").select(
-        id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & F.coalesce(within, F.lit(True))).alias("kept")
+        id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", _base_failed().alias("base_failed"), (~_base_failed() & F.coalesce(within, F.lit(True))).alias("kept")
     )

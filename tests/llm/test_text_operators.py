@@ -1,5 +1,6 @@
 """Operators that look at one text at a time, against the public libraries or plain versions."""
 
+import math
 import random
 
 import numpy as np
@@ -98,6 +99,36 @@ def test_quality_bounds_have_no_floor(spark):
     assert sorted(r.doc_id for r in dropped) == [1000, 1001]
 
 
+def test_quality_verdict_is_that_of_exact_quantiles(spark):
+    """Groups small enough for their sketches to be exact, against sorted values."""
+    draw = random.Random(12)
+    rows = []
+    for k in range(600):
+        words = [draw.choice(["alpha", "be", "gamma-delta", "x", "LOUD"][: draw.choice([2, 4, 5])]) + str(draw.randrange(40)) for _ in range(draw.randint(40, 160))]
+        text = draw.choice([" ", "\n"]).join(words) + draw.choice(["", "", "", " # $", " |" * 30]) + draw.choice(["", "\nsame\nsame"])
+        rows.append((k, text, draw.choice(["en", None]), draw.choice("ab")))
+    for k in range(600, 616):
+        rows.append((k, " ".join(f"{'longer' * (k % 2)}w{j}{' #$' * (1 - k % 2)}" for j in range(90)), "en", "a"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    measured = {r.doc_id: r.asDict() for r in quality_rules.measure(docs).collect()}
+    failed = {k for k, m in measured.items() if m["n_words"] < 50 or 2 * m["n_repeat_words"] > m["n_words"]}
+    ratios = {"symbols_per_word": "n_symbols", "repeated_share": "n_repeat_words", "dup_line_share": "n_dup_lines", "shouting_share": "n_shouted", "word_chars_mean": "word_chars"}
+    ratio = lambda k, r: measured[k][ratios[r]] / max(measured[k]["n_words"], 1)
+    kept = set()
+    for group in {r[2:] for r in rows}:
+        mine = [r[0] for r in rows if r[2:] == group]
+        base = [k for k in mine if k not in failed]
+        at = lambda values, q: sorted(values)[max(math.ceil(q * len(values)) - 1, 0)]
+        one = 1 / at([measured[k]["n_words"] for k in base], 0.5)
+        top = {r: max(t * at([ratio(k, r) for k in base], q), n * one) for r, q, t, n in quality_rules.TAIL_RULES}
+        means = [ratio(k, "word_chars_mean") for k in base]
+        low, high = at(means, 0.25), at(means, 0.75)
+        spread = max(high - low, one)
+        fence = low - quality_rules.WORD_FENCE[0] * spread, high + quality_rules.WORD_FENCE[1] * spread
+        kept |= {k for k in base if all(ratio(k, r) <= top[r] for r in top) and fence[0] <= ratio(k, "word_chars_mean") <= fence[1]}
+    assert {r.doc_id for r in quality_rules.filter_quality(docs).filter("kept").collect()} == kept and 0 < len(kept) < len(rows) - len(failed)
+
+
 def test_entities(spark):
     scraps = ["a@b.co", "a", "@", ".", "+", "1", "23", "4444", "4539148803436467", "1.2.3.4", "300.1.1.1", " ", "-", "(", "é", "😀", "x@y.z%q@r.s", "+1 (706) 555-3138", "_", "5555 5555 5555 4444", "0", "%"]
     draw = random.Random(3)
