@@ -1,9 +1,12 @@
 """Information-theoretic sanitisation of personal data, in DataFrame functions only.
 
 Patterns find the protected entities. How much a term reveals an entity of the same document is
-estimated from the corpus: the pointwise mutual information of term and entity over documents,
-smoothed for rare terms, as a share of the entity's own information content. A term that reveals nearly all of it is removed from documents
-that hold the entity, one that reveals much of it is generalised.
+estimated from the corpus: the information that still has to be found once the term is known, in
+bits, is minus the logarithm of the share of the term's documents that hold the entity (its own
+information less the pointwise mutual information of the two). A term that leaves almost nothing
+open is removed from documents that hold the entity, one that leaves little is generalised. What is
+left open depends on the term's own documents alone, so the verdict on a text does not change when
+unrelated documents join the corpus.
 """
 
 from __future__ import annotations
@@ -25,13 +28,13 @@ PATTERNS = {
 #: What a text must hold for a kind to occur at all; cheaper than the full search.
 HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]+\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){15}", "phone": r"\+[0-9]"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-#: Pseudo-documents at the entity's base rate that smooth the share of a term's documents that hold
-#: the entity: the squared normal quantile (0.8416) of a one-sided 80 % interval. A term met once,
-#: beside an entity met once, then reveals log2(1.71) bits less than all.
+#: Documents without the entity that are added to those of each term: the squared normal quantile
+#: (0.8416) of a one-sided 80 % interval, so that a term has to be met more than once to be sure.
 PRIOR = 0.7083
-#: Shares of the entity's information from which a term is generalised or removed.
-GENERALISE_AT = 0.8
-REMOVE_AT = 0.95
+#: Bits left open up to which a term is generalised or removed: the entity is in every second, or in
+#: four of five, of the documents with the term. A word met once beside an entity leaves 0.77 bits.
+GENERALISE_AT = 1.0
+REMOVE_AT = 0.33
 #: A term: a whole word of three or more letters.
 TERM = r"(?<![\p{L}\p{N}])\p{L}{3,}(?![\p{L}\p{N}])"
 _SPAN = "struct<kind:string,start:long,end:long,value:string>"
@@ -111,22 +114,17 @@ def _mentions(located: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(docs: DataFrame, mentions: DataFrame, text_col: str = "text", prior: float = PRIOR, generalise_at: float = GENERALISE_AT) -> DataFrame:
-    """``entity, term, disclosure``: the share of the entity's information that the term reveals.
+    """``entity, term, left``: the bits that the term leaves open about the entity.
 
-    Counts are of documents: all of ``docs`` for the terms, those with the entity for the pairs.
-    The share of a term's documents that hold the entity counts ``prior`` more documents at the
-    entity's base rate, so a rare term needs no least count.
+    Counts are of documents: all of ``docs`` for the terms, those with the entity for the pairs;
+    ``prior`` documents without the entity are added to those of each term. The number of all
+    documents has no part in it.
     """
-    total = F.lit(float(docs.count()))
-    each = mentions.select("terms", F.explode("entities").alias("entity"))
-    entities = each.groupBy("entity").agg(F.count(F.lit(1)).alias("ne"))
-    pairs = each.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
+    pairs = mentions.select(F.explode("entities").alias("entity"), "terms").select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col).cast("string")), F.lit(TERM), F.lit(0)))
     known = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("nt"))
-    base = F.col("ne") / total
-    given = (F.col("both") + F.lit(prior) * base) / (F.col("nt") + F.lit(prior))
-    rated = pairs.join(entities, "entity").join(known, "term").filter(base < 1)
-    return store(rated.select("entity", "term", (F.log2(given / base) / -F.log2(base)).alias("disclosure")).filter(F.col("disclosure") >= generalise_at), "disclosing")
+    left = -F.log2(F.col("both") / (F.col("nt") + F.lit(prior)))
+    return store(pairs.join(known, "term").select("entity", "term", left.alias("left")).filter(F.col("left") <= generalise_at), "disclosing")
 
 
 def find(docs: DataFrame, located: DataFrame, text_col: str = "text", prior: float = PRIOR, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> DataFrame:
@@ -135,7 +133,7 @@ def find(docs: DataFrame, located: DataFrame, text_col: str = "text", prior: flo
     mentions = store(_mentions(located), "mentions")
     terms = disclosing_terms(docs, mentions, text_col, prior, generalise_at)
     held = mentions.select("_uid", F.explode("entities").alias("entity")).join(terms, "entity")
-    action = F.when(F.max("disclosure") >= remove_at, "remove").otherwise("generalise")
+    action = F.when(F.min("left") <= remove_at, "remove").otherwise("generalise")
     mine = held.groupBy("_uid", "term").agg(action.alias("action")).groupBy("_uid").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("term", "action")))).alias("_actions"))
     with_spans = located.filter(F.size("_spans") > 0).join(store(mine, "actions"), "_uid", "left")
     action = lambda m: F.element_at("_actions", F.lower(m))
