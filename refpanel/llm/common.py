@@ -45,13 +45,45 @@ def shared_folder(spark: SparkSession, kind: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/llm-{kind}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, kind: str = "table") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+#: Tables stored within each ``scratch`` that is open.
+_SCRATCH: list[list[str]] = []
+
+
+def store(df: DataFrame, kind: str = "table", keep: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    An open ``scratch`` deletes the table as it ends, unless ``keep`` is set."""
     path = shared_folder(df.sparkSession, kind)
+    if _SCRATCH and not keep:
+        _SCRATCH[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def discard(stored: DataFrame) -> None:
+    """Deletes a table that ``store`` wrote and that nothing reads any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in stored.inputFiles()}:
+        _delete(stored.sparkSession, folder)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored while it holds are deleted as it ends; for work whose result is stored with
+    ``keep`` by then, so that nothing reads them any more. Shuffle files go with each query."""
+    _SCRATCH.append([])
+    try:
+        with shuffles_removed(spark):
+            yield
+    finally:
+        for path in _SCRATCH.pop():
+            _delete(spark, path)
+
+
 @contextmanager
 def shuffles_removed(spark: SparkSession) -> Iterator[None]:
     """While it holds, Spark deletes the shuffle files of each query as it ends, not when the driver
@@ -66,7 +98,7 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
 
 
 class Cache(dict):
-    """``cache[key]`` computes ``fn(key)`` and keeps it unless the key is long; emptied by ``trim``
+    """``cache[key]`` computes ``fn(key)`` and keeps it unless the key is a long text; emptied by ``trim``
     when it has grown."""
 
     def __init__(self, fn: Callable):
@@ -75,7 +107,7 @@ class Cache(dict):
 
     def __missing__(self, key):
         value = self.fn(key)
-        if len(key) <= CACHED_LENGTH:
+        if not isinstance(key, bytes | str) or len(key) <= CACHED_LENGTH:
             self[key] = value
         return value
 

@@ -201,6 +201,19 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: int
     return Model({r.term: float(w[k] / scale[k]) for k, r in enumerate(best)}, float(w[-1]))
 
 
+def drop_toxic(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that ``score`` predicts as toxic, judged where they lie: no join."""
+    at = docs.columns.index(text_col)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = model.scorer() if model else lambda text: -np.inf
+        for batch in batches:
+            raw = np.array([of(text or "") for text in batch.column(at).cast(pa.string()).to_pylist()], float)
+            yield batch.filter(pa.array(sigmoid(raw) < 0.5))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``held_out``, ``score`` (0 to 1) and ``predicted`` (score of 0.5 or more) of every row.
 

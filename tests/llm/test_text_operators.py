@@ -168,6 +168,14 @@ def test_single_documents_disclose(spark):
     assert all(clean[r[0]] == r[1] for r in rows[3:])
 
 
+def test_disclosure_does_not_depend_on_the_size_of_the_corpus(spark):
+    """A hundred times as many unrelated documents leave every span as it was."""
+    rows = [(1, "jo@example.org keeps a zebrafish and an okapi"), (2, "zebrafish are small"), (3, "zebrafish swim"), (4, "Okapi for jo@example.org"), (5, "jo@example.org once wrote unum")]
+    padded = rows + [(10 + k, f"other words in number {k} of them") for k in range(500)]
+    spans = lambda r: {x.doc_id: x.spans for x in sanitise.report(spark.createDataFrame(r, "doc_id long, text string")).collect() if x.doc_id < 10}
+    assert spans(rows) == spans(padded) and "term" in spans(rows)[5]
+
+
 def test_sanitise_rows(odd, nothing):
     done = sanitise.sanitise(odd)
     assert done.columns == odd.columns and done.count() == 10
