@@ -11,11 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refpanel.llm import decontaminate, near_dedup, pieces, sanitise, toxicity
-from refpanel.llm.common import ship_code, store, table
+from refpanel.llm.common import discard, scratch, ship_code, store, table
 
 #: SQL cannot express the toxicity model, the min-max hashes or the tokenizer; the tests compare
 #: the stages with plain versions.
 ORACLE_SQL = None
+#: Words of a shingle in the near-duplicate stage.
+SHINGLE_WORDS = 4
 
 
 def _free(docs: DataFrame) -> str:
@@ -42,19 +44,17 @@ def _without(docs: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic go."""
     ship_code(spark)
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    key = _free(docs)
-    docs = docs.withColumn(key, _content())
-    return _without(docs, key, toxicity.score(docs, model, key).filter("predicted = 1"))
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates stays, one with the smallest id (null is the largest)."""
+    """One row of each group of near-duplicates (four-word shingles, as for ``op3``) stays, one with
+    the smallest id (null is the largest)."""
     ship_code(spark)
     key, columns = _free(docs), docs.columns
     row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("n"))
     docs = store(docs.withColumn(key, row), "rows")  # stored: the numbers must not change
-    return _without(docs, key, near_dedup.near_duplicates(docs, id_col=key).filter("NOT kept")).select(*columns)
+    return _without(docs, key, near_dedup.near_duplicates(docs, SHINGLE_WORDS, id_col=key).filter("NOT kept")).select(*columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,7 +88,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages in turn. What a stage stored for itself goes as soon as its output is written, and
+    so does the output of the stage before."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), name)
+        with scratch(spark):
+            docs = store(stage(spark, docs, sf_dir), name, keep=True)
+        if last is not None:
+            discard(last)
+        last = docs
     return docs
