@@ -138,6 +138,24 @@ def summarize_by_length(labelled: DataFrame, bucket: int = 50) -> DataFrame:
     return out.withColumn("read_length_bucket", name).drop("_start")
 
 
+def grouped_metrics(labelled: DataFrame, bucket: int = 50) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What ``summarize``, ``summarize_by_length`` and ``background_fpr`` give, from one aggregation
+    with grouping sets: a single pass over the labelled reads, of which only the counts are kept."""
+    start = (F.floor(F.col("read_length") / bucket) * bucket).cast("int")
+    rows = labelled.withColumn("family", F.col("family_true")).withColumn("_start", start)
+    called = F.count_if(F.col("family_called") != NO_CALL).alias("n_called")
+    counts = rows.groupingSets([["method", "family"], ["method", "family", "_start"]], "method", "family", "_start").agg(
+        F.grouping("_start").alias("_total"), F.count(F.lit(1)).alias("n"), called, *_counts()
+    )
+    counts = materialize(counts)
+    real, total = F.col("family") != BACKGROUND, F.col("_total") == 1
+    summary = _rates(counts.filter(real & total).select("method", "family", "tp", "fp", "fn"))
+    name = F.concat(F.col("_start").cast("string"), F.lit("-"), (F.col("_start") + (bucket - 1)).cast("string"), F.lit("bp"))
+    by_length = _rates(counts.filter(real & ~total).select("method", "family", name.alias("read_length_bucket"), "tp", "fp", "fn"))
+    background = counts.filter(~real & total).select("method", F.col("n").alias("n_background_reads"), F.col("n_called").alias("n_false_positive_calls"))
+    return summary, by_length, background.withColumn("background_fpr", ratio("n_false_positive_calls", "n_background_reads"))
+
+
 def background_fpr(labelled: DataFrame) -> DataFrame:
     """Share of background reads that got any call, per method."""
     return (

@@ -22,13 +22,17 @@ def decoy_refs(split: DataFrame, families: DataFrame) -> DataFrame:
     )
 
 
-def select_fused(catalogue: DataFrame, pair_domains: DataFrame, taxonomy_id: int | None = None) -> DataFrame:
-    """Catalogue rows with both verified domains of a pair, by an equi-join on the first domain."""
-    offered = catalogue if taxonomy_id is None else catalogue.filter(F.array_contains("lineage", F.lit(taxonomy_id)))
-    offered = offered.withColumn("domain_a", F.explode(F.array_distinct("domains")))
+def select_fused(catalogue: DataFrame, pair_domains: DataFrame, families: DataFrame | None = None) -> DataFrame:
+    """Catalogue rows with both verified domains of a pair, by an equi-join on the first domain.
+
+    With ``families`` a row lies in the taxon of the pair's first family, where that names one."""
+    if families is not None:
+        pair_domains = pair_domains.join(families.select(F.col("family").alias("fam_a"), "taxonomy_id"), "fam_a", "left")
+    offered = catalogue.withColumn("domain_a", F.explode(F.array_distinct("domains")))
     return (
         offered.join(pair_domains, "domain_a")
         .filter(F.array_contains("domains", F.col("domain_b")))
+        .filter(F.lit(True) if families is None else F.col("taxonomy_id").isNull() | F.array_contains("lineage", F.col("taxonomy_id")))
         .select("fam_a", "fam_b", *catalogue.columns)
     )
 

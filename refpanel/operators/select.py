@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refpanel.functions import seeded_key
+from refpanel.session import materialize
 
 OVERSAMPLE = 5
 PAGE = 500
@@ -96,7 +97,8 @@ def capped_sample(seqs: DataFrame, caps: DataFrame, seed=42) -> DataFrame:
         .filter(F.col("_rn") <= F.col("max_n"))
         .select(*group, "accession")
     )
-    drawn_keys = picked.distinct().withColumn("_drawn", F.lit(True))
+    # At most the caps: stored, so the plan knows how few they are and the sequences stay in place.
+    drawn_keys = materialize(picked.distinct().withColumn("_drawn", F.lit(True)))
     return keyed.join(drawn_keys, [*group, "accession"], "left").filter("max_n IS NULL OR _drawn").select(*seqs.columns)
 
 

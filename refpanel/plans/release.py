@@ -41,6 +41,18 @@ class Release:
                 write_release(df, f"{path}/{field}", self.name)
 
 
+def _selected(catalogue: DataFrame, families: DataFrame, max_positive: int | None, max_negative: int | None, seed) -> DataFrame:
+    """The raw snapshot of a release: both labels selected from the catalogue, within their caps."""
+    chosen = select.select_sequences(catalogue, families, "positive").unionByName(
+        select.select_sequences(catalogue, families, "negative")
+    )
+    caps = families.select("family", F.lit("positive").alias("label"), F.coalesce("max_positive", F.lit(max_positive).cast("int")).alias("max_n")).unionByName(
+        families.select("family", F.lit("negative").alias("label"), F.coalesce("max_negative", F.lit(max_negative).cast("int")).alias("max_n"))
+    )
+    columns = ["family", "label", "accession", "organism", "seq"]
+    return materialize(select.capped_sample(chosen, caps, seed).select(*columns).withColumn("length", F.length("seq")))
+
+
 def build_release(
     catalogue: DataFrame,
     families: DataFrame,
@@ -54,25 +66,23 @@ def build_release(
     k: int = 5,
     min_identity: float = 0.90,
     use_domains: bool = True,
+    raw: DataFrame | None = None,
 ) -> Release:
     """One release from a catalogue ``(accession, gene_names, domains, lineage, organism, seq)``.
 
     Cutoffs come from each family's own search scores: held-out positives and negatives against
     the assembled references (percentile policy). ``alignment`` (aligned train positives) adds
     trimmed profiles. A subset of families is just another ``families`` table and ``name``.
+    ``raw``, the stored ``sequences`` of an earlier run, takes the place of the selection: derived
+    tables are always made anew from it, so other thresholds give what a fresh run would.
     """
     if split_mode not in ("random", "taxonomy"):
         raise ValueError(f"split_mode must be random or taxonomy, not {split_mode!r}")
     select.check_unique_models(families)
-    chosen = select.select_sequences(catalogue, families, "positive").unionByName(
-        select.select_sequences(catalogue, families, "negative")
-    )
-    caps = families.select("family", F.lit("positive").alias("label"), F.coalesce("max_positive", F.lit(max_positive).cast("int")).alias("max_n")).unionByName(
-        families.select("family", F.lit("negative").alias("label"), F.coalesce("max_negative", F.lit(max_negative).cast("int")).alias("max_n"))
-    )
-    columns = ["family", "label", "accession", "organism", "seq"]
-    raw = materialize(select.capped_sample(chosen, caps, seed).select(*columns).withColumn("length", F.length("seq")))
-
+    if raw is None:
+        raw = _selected(catalogue, families, max_positive, max_negative, seed)
+    columns = ["family", "label", "accession", "organism", "seq", "length"]
+    raw = raw.select(*columns).join(families.select("family"), "family", "left_semi")
     negatives = raw.filter("label = 'negative'")
     positives = raw.filter("label = 'positive'")
     hits = similarity.similarity_join(negatives, positives, k)
@@ -96,7 +106,7 @@ def build_release(
     pairs = select.fusion_pairs(families)
     candidates = classified.filter(F.col("outcome").isin("fusion", "contaminant"))
     fractions = qc.domain_fractions(positives, catalogue.select("accession", "domains"))
-    dedicated = refs.select_fused(catalogue, qc.fusion_domain_pair(families, fractions))
+    dedicated = refs.select_fused(catalogue, qc.fusion_domain_pair(families, fractions), families)
     searchable = materialize(
         refs.assemble_refs(parts, refs.decoy_refs(parts, families), refs.fusion_refs(pairs, candidates, dedicated))
     )

@@ -315,7 +315,7 @@ def fusion_select(spark, d):
 
 _FUSED = """fc AS (SELECT family, accession, organism, seq FROM classified WHERE outcome IN ('fusion', 'contaminant')),
 fp AS (SELECT DISTINCT least(f.family, f.fusion_partner) AS fam_a, greatest(f.family, f.fusion_partner) AS fam_b FROM families f WHERE f.fusion_partner IN (SELECT family FROM families)),
-ded AS (SELECT 'LARGE' AS fam_a, 'STANDARD' AS fam_b, accession, organism, seq FROM catalogue WHERE list_contains(domains, 'gear') AND list_contains(domains, 'hot')),
+ded AS (SELECT fam_a, fam_b, accession, organism, seq FROM catalogue JOIN pair_domains ON list_contains(domains, domain_a) AND list_contains(domains, domain_b)),
 un AS (SELECT fam_a, fam_b, accession, organism, seq, 0 AS prio FROM fp JOIN fc ON fc.family = fam_a UNION ALL
   SELECT fam_a, fam_b, accession, organism, seq, 1 FROM fp JOIN fc ON fc.family = fam_b UNION ALL SELECT fam_a, fam_b, accession, organism, seq, 2 FROM ded),
 fused AS (SELECT fam_a || '_' || fam_b || '_fused' AS family, accession, organism, seq FROM (
@@ -324,25 +324,23 @@ fused AS (SELECT fam_a || '_' || fam_b || '_fused' AS family, accession, organis
 
 def _fused(spark, d):
     cand = _classified(spark, d).filter(F.col("outcome").isin("fusion", "contaminant"))
-    pair = spark.createDataFrame([("LARGE", "STANDARD", "gear", "hot")], "fam_a string, fam_b string, domain_a string, domain_b string")
-    dedicated = refs.select_fused(s.catalogue(spark, d), pair)
+    dedicated = refs.select_fused(s.catalogue(spark, d), _pair_domains(spark, d))
     return refs.fusion_refs(sel.fusion_pairs(s.part_families(spark)), cand, dedicated)
 
 
-@query("fusion_refs", f"{_OUTLIERS}, {s.CATALOGUE}, {_FUSED} SELECT * FROM fused")
+@query("fusion_refs", f"{_OUTLIERS}, {s.CATALOGUE}, {_PAIR}, {_FUSED} SELECT * FROM fused")
 def fusion_refs(spark, d):
     return _fused(spark, d)
 
 
-_REFS = f"""all_refs AS (
+_REFS = f"""fused AS (SELECT * FROM ({_OUTLIERS}, {s.CATALOGUE}, {_PAIR}, {_FUSED} SELECT * FROM fused)),
+all_refs AS (
   SELECT family, accession, organism, seq, 'positive' AS kind FROM split WHERE split = 'train' AND label = 'positive'
-  UNION ALL SELECT *, 'decoy' FROM decoys UNION ALL SELECT family || '_fused', accession, organism, seq, 'fused' FROM split WHERE split = 'test' AND length > 5000)"""
+  UNION ALL SELECT *, 'decoy' FROM decoys UNION ALL SELECT family, accession, organism, seq, 'fused' FROM fused)"""
 
 
 def _assembled(spark, d):
-    parts = _split(spark, d)
-    fused = parts.filter("split = 'test' and length > 5000").withColumn("family", F.concat("family", F.lit("_fused")))
-    return refs.assemble_refs(parts, _decoys(spark, d), fused)
+    return refs.assemble_refs(_split(spark, d), _decoys(spark, d), _fused(spark, d))
 
 
 @query("assemble_refs", f"WITH {_LANGS}, {s.DOC_SEQS}, {_SPLIT}, {_DECOYS}, {_REFS} SELECT family, accession, organism, kind, length(seq) AS n FROM all_refs")

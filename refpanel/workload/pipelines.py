@@ -37,8 +37,11 @@ def release_scorecard(spark, d):
     return _release(spark, d).scorecard
 
 
-def benchmark_cascade(spark, d):
-    return run_benchmark(s.hits(spark, d), s.truth(spark, d), 0.0, 0.0, 0.0)["cascade"]
+def _benchmark(table: str):
+    def run(spark, d):
+        return run_benchmark(s.hits(spark, d), s.truth(spark, d))[table]
+
+    return run
 
 
 def genome_validation(spark, d):
@@ -63,8 +66,11 @@ def genome_validation(spark, d):
 
 
 QUERIES["release_scorecard"] = release_scorecard
-QUERIES["benchmark_cascade"] = benchmark_cascade
-SQL["benchmark_cascade"] = _SCORING_SQL["cascade_config"]
+# The benchmark filters search hits first; the rest is what the single queries say.
+for _table, _single in (("summary", "summary"), ("by_length", "summary_by_length"), ("background", "background_fpr"), ("cascade", "cascade_config")):
+    QUERIES[f"benchmark_{_table}"] = _benchmark(_table)
+    SQL[f"benchmark_{_table}"] = _SCORING_SQL[_single].replace(s.HITS, f"""{s.HITS.replace("hits AS", "every_hit AS", 1)},
+hits AS (SELECT * FROM every_hit WHERE method <> 'search' OR pident >= 0.40 AND qcov >= 0.50 AND scov >= 0.0)""")
 QUERIES["genome_validation"] = genome_validation
 SQL["genome_validation"] = """WITH e AS (
   SELECT *, CAST(floor(epoch(ts)) AS BIGINT) - 1704067200 AS st FROM events),
