@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from refpanel import sources
+from refpanel.operators.sketches import merged_manifest, release_sketches
 from refpanel.session import checkpoint_root
 from refpanel.workload import standins as s
 
@@ -85,7 +86,23 @@ def release_partitions(spark, d):
     return sources.derived_partition(spark, path, "v1").select("s_suppkey", "n", "release")
 
 
-for _fn in (fasta_roundtrip, fastq_scan, paired_samples, hits_scan, tblout_scan, manifest_scan, release_partitions):
+def diversity_merged(spark, d):
+    """Documents as three releases that store their sketches; what those say together, held against
+    the exact numbers: within 5 % of the distinct organisms and 3 % of the ranks around the median."""
+    path, seqs = _folder(spark), s.doc_sequences(spark, d)
+    for k in range(3):
+        sources.write_release(release_sketches(seqs.filter(F.col("accession").cast("long") % 3 == k)), path, f"r{k}")
+    merged = merged_manifest(spark.read.parquet(path))
+    share = lambda c: F.avg(c.cast("int"))
+    exact = seqs.join(merged, ["family", "label"]).groupBy("family", "label", "n", "n_organisms").agg(
+        F.countDistinct("organism").alias("o"),
+        F.least(share(F.col("length") <= F.col("median_length")), share(F.col("length") >= F.col("median_length"))).alias("side"),
+    )
+    near = F.abs(F.col("n_organisms") - F.col("o")) <= F.greatest(F.lit(1.0), 0.05 * F.col("o"))
+    return exact.select("family", "label", "n", near.alias("organisms_close"), (F.col("side") >= 0.47).alias("median_close"))
+
+
+for _fn in (fasta_roundtrip, fastq_scan, paired_samples, hits_scan, tblout_scan, manifest_scan, release_partitions, diversity_merged):
     QUERIES[_fn.__name__] = _fn
 
 _DNA = f"translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{s.DNA_FROM}', '{s.DNA_TO}')"
@@ -95,6 +112,7 @@ SQL["fastq_scan"] = f"SELECT 't' || conv_id || '_' || turn AS read_id, CAST(leng
 SQL["hits_scan"] = f"WITH {s.HITS} SELECT read_id, family || '|' || subject_id AS subject_id, family, (pident * 100) / 100 AS pident, (qcov * 100) / 100 AS qcov, (scov * 100) / 100 AS scov, bitscore FROM hits WHERE method = 'search'"
 SQL["tblout_scan"] = "SELECT l_orderkey || '/1' AS read_id, 'fam' || l_suppkey AS family, l_extendedprice AS bitscore FROM lineitem"
 SQL["manifest_scan"] = "SELECT CAST(p_partkey AS VARCHAR) AS accession, replace(p_name, ' ', ',') AS domains FROM part"
+SQL["diversity_merged"] = f"WITH {s.DOC_SEQS} SELECT family, label, count(*) AS n, TRUE AS organisms_close, TRUE AS median_close FROM seqs GROUP BY 1, 2"
 SQL["release_partitions"] = "SELECT s_suppkey, 3 AS n, 'v1' AS release FROM supplier"
 SQL["paired_samples"] = """WITH r AS (SELECT CAST(conv_id AS VARCHAR) AS sample, CAST(turn % 2 + 1 AS INTEGER) AS mate, conv_id || '_' || turn AS read_id FROM conversations)
 SELECT * FROM r WHERE sample IN (SELECT sample FROM r GROUP BY 1 HAVING count(DISTINCT mate) = 2)"""
