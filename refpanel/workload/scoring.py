@@ -150,7 +150,7 @@ def scope_exclusion(spark, d):
 
 @query("best_threshold", f"{_BASE}, {_SWEEP} SELECT * FROM best_thr")
 def best_threshold(spark, d):
-    return m.best_threshold(_labelled(spark, d))
+    return m.best_threshold(_labelled(spark, d, False))
 
 
 _CASCADE = f"""{_BASE}, {_SUMMARY}, {_SWEEP}, cascade AS (
@@ -161,7 +161,7 @@ _CASCADE = f"""{_BASE}, {_SUMMARY}, {_SWEEP}, cascade AS (
 
 @query("cascade_config", f"{_CASCADE} SELECT * FROM cascade")
 def cascade_config(spark, d):
-    labelled = _labelled(spark, d)
+    labelled = _labelled(spark, d, False)
     return m.cascade_config(m.summarize(labelled), m.best_threshold(labelled))
 
 
