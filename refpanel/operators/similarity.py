@@ -4,6 +4,7 @@ A hit is a pair that shares a k-mer and whose best diagonal scores higher than c
 E-value, the number of such scores expected in references of that total length, is at most a given
 one. The least score that this asks for is known for each query before anything is aligned, and a
 seeded span shorter than that cannot reach it, so chance pairs are dropped without their letters.
+So is a pair whose span cannot reach what the seeds of another hit of the same query are sure to score.
 With ``containment`` a hit also shares that percentage of the query's distinct k-mers. Such a pair
 shares one of the query's ``n - need + 1`` rarest k-mers (the prefix-filter principle of set-similarity
 joins), so only those are looked up. Identical sequences are searched once and share the result.
@@ -78,11 +79,6 @@ def seed_index(seqs: DataFrame, k: int) -> DataFrame:
     return hits.groupBy("kmer", "family", "accession").agg(F.min("pos").alias("pos"))
 
 
-def write_seed_index(index: DataFrame, table: str, buckets: int = 200) -> None:
-    """Persist a seed index bucketed by k-mer, so later lookups join without moving it."""
-    index.write.mode("overwrite").bucketBy(buckets, "kmer").sortBy("kmer").saveAsTable(table)
-
-
 def rare_probes(shared: DataFrame, group: list[str], need: Column) -> DataFrame:
     """The k-mers of each query that must be looked up.
 
@@ -99,13 +95,40 @@ def rare_probes(shared: DataFrame, group: list[str], need: Column) -> DataFrame:
     )
 
 
-def align_pairs(pairs: DataFrame | None, queries: DataFrame, refs: DataFrame, group: list[str], k: int, max_evalue: float | None) -> DataFrame:
+def contenders(rows: DataFrame, target: list, k: int) -> DataFrame:
+    """The rows of ``rows(q_id, r_id, seeds, span)`` that can be the best hit of their ``target``.
+
+    ``n`` seeds of one diagonal cover at least ``n + k - 1`` equal letters, so a row scores no less
+    than if all other letters of its span differed, and no more than if all agreed. A row that
+    at its best stays below another one's least loses to it, whatever its letters are.
+    """
+    covered = F.least(F.col("seeds") + k - 1, F.col("span"))
+    sure = covered * MATCH + (F.col("span") - covered) * MISMATCH
+    keyed = rows.select("*", *(c.alias(f"_t{i}") for i, c in enumerate(target)))
+    names = [f"_t{i}" for i in range(len(target))]
+    floors = keyed.groupBy(*names).agg(F.max(sure).alias("_sure"))
+    return keyed.join(floors, names).filter(F.col("span") * MATCH >= F.col("_sure")).drop(*names, "_sure")
+
+
+def align_pairs(
+    pairs: DataFrame | None,
+    queries: DataFrame,
+    refs: DataFrame,
+    group: list[str],
+    k: int,
+    max_evalue: float | None,
+    target: list,
+    containment: int | None = None,
+    ref_seeds: DataFrame | None = None,
+) -> DataFrame:
     """Best diagonal and identity of given pairs ``(group, q_id, r_id)``, or of all that share a k-mer.
 
     Seeds are first positions of shared k-mers; the diagonal (query minus reference position)
     with most seeds wins, the lowest on a tie. Residues are then compared along the seeded span
     and along the whole overlap of that diagonal. ``refs`` has ``total``, the length of all
-    references that a query of its group meets.
+    references that a query of its group meets. Of the rows with one ``target`` (columns) those
+    that cannot be its best hit are left out. ``ref_seeds(group, r_id, kmer, r_pos)`` are the
+    references' seeds where an index holds them.
     """
 
     def seeds(seqs: DataFrame, side: str) -> DataFrame:
@@ -115,7 +138,9 @@ def align_pairs(pairs: DataFrame | None, queries: DataFrame, refs: DataFrame, gr
         pos = seqs.select(*group, "id", F.posexplode(kmers("seq", k)).alias("_p", "kmer"))
         return pos.groupBy(*group, "id", "kmer").agg(F.min("_p").alias(f"{side}_pos")).withColumnRenamed("id", f"{side}_id")
 
-    if pairs is None:
+    if ref_seeds is not None:
+        shared = seeds(queries, "q").join(ref_seeds, [*group, "kmer"])
+    elif pairs is None:
         shared = seeds(queries, "q").join(seeds(refs, "r"), [*group, "kmer"])
     else:
         shared = pairs.join(seeds(queries, "q"), [*group, "q_id"]).join(seeds(refs, "r"), [*group, "r_id", "kmer"])
@@ -131,11 +156,14 @@ def align_pairs(pairs: DataFrame | None, queries: DataFrame, refs: DataFrame, gr
         .join(queries.select(*group, F.col("id").alias("q_id"), F.length("seq").alias("q_len"), "n_kmers"), [*group, "q_id"])
         .join(refs.select(*group, F.col("id").alias("r_id"), F.length("seq").alias("r_len"), "total"), [*group, "r_id"])
     )
+    rows = rows.withColumn("span", F.col("_hi") - F.col("_lo") + k)
     if max_evalue is not None:
-        rows = rows.filter((F.col("_hi") - F.col("_lo") + k) * MATCH >= least_score(F.col("q_len"), F.col("total"), max_evalue))
-    # Only what can be significant meets its letters; stored, so that the plan knows how little that is.
+        rows = rows.filter(F.col("span") * MATCH >= least_score(F.col("q_len"), F.col("total"), max_evalue))
+    if containment is not None:
+        rows = rows.filter(F.col("shared") >= needed("n_kmers", containment))
+    # Only what can be the best significant hit meets its letters; stored, so that the plan knows how little that is.
     rows = (
-        materialize(rows)
+        materialize(contenders(materialize(rows), target, k))
         .join(queries.select(*group, F.col("id").alias("q_id"), F.col("seq").alias("_q")), [*group, "q_id"])
         .join(refs.select(*group, F.col("id").alias("r_id"), F.col("seq").alias("_r")), [*group, "r_id"])
     )
@@ -144,8 +172,7 @@ def align_pairs(pairs: DataFrame | None, queries: DataFrame, refs: DataFrame, gr
     same = F.zip_with(
         F.slice(residues("_q"), start + 1, length), F.slice(residues("_r"), start - F.col("diag") + 1, length), lambda a, b: a == b
     )
-    span = F.col("_hi") - F.col("_lo") + k
-    rows = rows.withColumn("_same", same).withColumn("_start", start).withColumn("span", span)
+    rows = rows.withColumn("_same", same).withColumn("_start", start)
     hits = lambda flags: F.size(F.filter(flags, lambda x: x))
     aligned = (
         rows.withColumn("matches", hits(F.slice("_same", F.col("_lo") - F.col("_start") + 1, F.col("span"))))
@@ -209,15 +236,18 @@ def similarity_join(
         r, _ = distinct_sequences(refs.select("family", "accession", "seq"), ["family"], k)
         total = r.agg(F.sum(F.length("seq")).alias("total")).first()["total"]
         r = r.withColumn("id", F.struct("family", "id")).drop("family").withColumn("total", F.lit(total or 0).cast("long"))
-    if containment is None:
-        hits = align_pairs(None, q, r, group, k, max_evalue)
-    else:
-        pairs = materialize(candidate_pairs(q, r, group, k, containment))
-        hits = align_pairs(pairs, q, r, group, k, max_evalue).filter(F.col("shared") >= needed("n_kmers", containment))
+    target = [F.col("q_id"), *([F.col("family")] if same_family else [F.col("r_id.family")])]
+    pairs = None if containment is None else materialize(candidate_pairs(q, r, group, k, containment))
+    hits = align_pairs(pairs, q, r, group, k, max_evalue, target, containment)
     if same_family:
         hits = hits.withColumnRenamed("r_id", "subject_id")
     else:
         hits = hits.select("*", F.col("r_id.family").alias("family"), F.col("r_id.id").alias("subject_id")).drop("r_id")
+    return best_hits(hits, members, group)
+
+
+def best_hits(hits: DataFrame, members: DataFrame, group: list[str]) -> DataFrame:
+    """The best of ``hits(family, q_id, subject_id, ...)`` for every member that ``q_id`` stands for."""
     payload = ["shared", "seeds", "diag", "q_start", "span", "matches", "q_len", "r_len", "pident", "qcov", "scov", "identity", "evalue"]
     best = hits.groupBy("family", "q_id").agg(F.min(F.struct((-F.col("bitscore")).alias("neg"), "subject_id", *payload)).alias("b"))
     best = best.select("family", "q_id", "b.*").withColumn("bitscore", -F.col("neg")).drop("neg")

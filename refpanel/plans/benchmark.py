@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from refpanel.operators import metrics as m
 from refpanel.operators.alignment import build_profile, profile_scan, trim_alignment
 from refpanel.operators.reads import read_truth, translate_orfs, with_background
+from refpanel.operators.seed_index import indexed_search
 from refpanel.operators.similarity import MAX_EVALUE, similarity_join
 from refpanel.session import materialize
 
@@ -16,9 +17,16 @@ def _with_read(found: DataFrame, orfs: DataFrame, orf_col: str) -> DataFrame:
     return found.join(orfs.select(F.col("orf_id").alias(orf_col), "read_id"), orf_col)
 
 
-def search_reads(orfs: DataFrame, refs: DataFrame, sample: str = "all", k: int = 5, max_evalue: float = MAX_EVALUE) -> DataFrame:
-    """Hits of ``orfs (orf_id, read_id, aa)`` on protein references, one per reading frame and family."""
-    found = similarity_join(orfs.select(F.col("orf_id").alias("accession"), F.col("aa").alias("seq")), refs, k, max_evalue, same_family=False)
+def search_reads(
+    orfs: DataFrame, refs: DataFrame | None, sample: str = "all", k: int = 5, max_evalue: float = MAX_EVALUE, index: tuple[str, str] | None = None
+) -> DataFrame:
+    """Hits of ``orfs (orf_id, read_id, aa)`` on protein references, one per reading frame and family.
+
+    ``index`` names the folder and the release of a seed index over all families, searched in
+    place of ``refs``; its own k-mer length holds.
+    """
+    wanted = orfs.select(F.col("orf_id").alias("accession"), F.col("aa").alias("seq"))
+    found = indexed_search(wanted, *index, max_evalue) if index else similarity_join(wanted, refs, k, max_evalue, same_family=False)
     return _with_read(found, orfs, "accession").select(
         F.lit("search").alias("method"), F.lit(sample).alias("sample"), "read_id", "subject_id", "family",
         (F.col("pident") / 100).alias("pident"), "qcov", "scov", "bitscore",

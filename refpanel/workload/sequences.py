@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,8 +11,10 @@ from refpanel.functions import kmers, revcomp
 from refpanel.functions.sequence import GENETIC_CODE
 from refpanel.operators import alignment as aln
 from refpanel.operators import qc, reads, regions
+from refpanel.operators import seed_index as stored
 from refpanel.operators import similarity as sim
 from refpanel.operators.cluster import cluster_greedy
+from refpanel.session import checkpoint_root
 from refpanel.workload import standins as s
 from refpanel.workload.register import registrar
 
@@ -91,6 +94,20 @@ def similarity_join(spark, d):
     return sim.similarity_join(_items(spark, d), docs, K, same_family=False).select(*_SIM_COLUMNS).withColumn("evalue", F.round("evalue", 9))
 
 
+# The later of two releases: the first one's rows but for English, and Spanish ones that are new.
+_LATER = "later AS (SELECT * FROM seqs WHERE family <> 'en')"
+
+
+@query("indexed_search", f"WITH {s.DOC_SEQS}, {_LATER}, {_ITEMS}, {similarity_sql('items', 'later', False)} SELECT * REPLACE (round(evalue, 9) AS evalue) FROM sim")
+def indexed_search(spark, d):
+    docs = s.doc_sequences(spark, d).select("family", "accession", "seq")
+    folder = f"{checkpoint_root(spark).rstrip('/')}/index-{uuid.uuid4().hex}"
+    stored.create_seed_index(spark, folder, K, same_family=False)
+    stored.add_release(docs.filter("family <> 'es'"), folder, "v1")
+    stored.add_release(docs.filter("family <> 'en'"), folder, "v2")
+    return stored.indexed_search(_items(spark, d), folder, "v2").select(*_SIM_COLUMNS).withColumn("evalue", F.round("evalue", 9))
+
+
 _PURITY = f"""WITH {s.DOC_SEQS}, negs AS (SELECT family, accession, seq FROM seqs WHERE label = 'negative'), poss AS (SELECT family, accession, seq FROM seqs WHERE label = 'positive'),
 {similarity_sql('negs', 'poss', True)},
 checked AS (SELECT n.family, n.accession, coalesce(pident, 0.0) AS max_pident, coalesce(pident, 0.0) >= 70.0 AS flagged FROM negs n LEFT JOIN sim USING (family, accession))"""
