@@ -86,6 +86,15 @@ def windows(seq, length: int, stride: int) -> Column:
     return F.regexp_extract_all(_col(seq), F.lit(f"(?s)(?=(.{{{length}}})).{{1,{stride}}}"), F.lit(1))
 
 
+def chunks(seq, length: int, overlap: int) -> Column:
+    """Pieces that start at 0, length, 2*length, ... and run ``overlap`` letters into the next one.
+
+    Together they are little longer than ``seq``, so exploding them first and cutting k-mers or
+    windows from each keeps rows bounded where one array of all of them would not be.
+    """
+    return F.regexp_extract_all(_col(seq), F.lit(f"(?s)(?=(.{{1,{length + overlap}}})).{{1,{length}}}"), F.lit(1))
+
+
 def translate_frame(dna, frame: int) -> Column:
     """Protein of one forward frame (1, 2 or 3); codons with other letters give ``X``.
 

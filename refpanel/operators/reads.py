@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refpanel.functions import revcomp
-from refpanel.functions.sequence import translate_frame, windows
+from refpanel.functions.sequence import chunks, translate_frame, windows
 
 FLANK = 300
 KMER = 21
 PROBES = 8
 MIN_OVERLAP = 20
+#: Letters of a contig whose tiles are cut in one row, about.
+CHUNK = 65_536
 TRUTH_COLUMNS = ["read_id", "family", "label", "accession", "overlaps_cds", "overlap_bp", "read_length"]
 
 
@@ -24,18 +26,23 @@ def cds_bounds(contigs: DataFrame, flank: int = FLANK) -> DataFrame:
     )
 
 
-def tile_reads(contigs: DataFrame, lengths: list[int], stride: int) -> DataFrame:
+def tile_reads(contigs: DataFrame, lengths: list[int], stride: int, chunk: int = CHUNK) -> DataFrame:
     """Fixed-length read pairs at every ``stride`` of every contig, with their true interval.
 
     Mate 1 is forward; mate 2 is the reverse complement of the same window. Ids are
-    ``<contig>_<start>_<length>/<mate>``.
+    ``<contig>_<start>_<length>/<mate>``. A contig is first cut into chunks that overlap by a read,
+    so a row holds the tiles of about ``chunk`` letters however long the contig is.
     """
+    chunk = stride * max(1, chunk // stride)
+
     def of_length(n: int) -> Column:
-        cut = lambda fwd, i: F.struct((i * stride).alias("start"), F.lit(n).alias("read_length"), fwd.alias("fwd"))
-        return F.transform(windows("seq", n, stride), cut)
+        cut = lambda fwd, i: F.struct((F.col("_c") * chunk + i * stride).alias("start"), F.lit(n).alias("read_length"), fwd.alias("fwd"))
+        # Windows of the overlap belong to the next chunk.
+        return F.transform(F.slice(windows("_piece", n, stride), 1, chunk // stride), cut)
 
+    pieces = contigs.select("contig_id", F.posexplode(chunks("seq", chunk, max(lengths) - 1)).alias("_c", "_piece"))
     tiles = F.flatten(F.array(*[of_length(n) for n in lengths]))
-    rows = contigs.select("contig_id", F.explode(tiles).alias("t")).select("contig_id", "t.*")
+    rows = pieces.select("contig_id", F.explode(tiles).alias("t")).select("contig_id", "t.*")
     mates = F.explode(F.array(F.struct(F.lit(1).alias("mate"), F.col("fwd").alias("seq")), F.struct(F.lit(2).alias("mate"), revcomp("fwd").alias("seq"))))
     rows = rows.select("contig_id", "start", "read_length", mates.alias("m")).select("contig_id", "start", "read_length", "m.*")
     name = F.concat("contig_id", F.lit("_"), F.col("start").cast("string"), F.lit("_"), F.col("read_length").cast("string"), F.lit("/"), F.col("mate").cast("string"))

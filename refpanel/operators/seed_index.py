@@ -18,8 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refpanel.functions import kmers
-from refpanel.operators.similarity import MAX_EVALUE, align_pairs, best_hits, distinct_sequences
+from refpanel.operators.similarity import MAX_EVALUE, align_pairs, best_hits, distinct_sequences, kmer_rows
 from refpanel.session import local_table, materialize
 
 _SEEDS = "family STRING, digest STRING, kmer STRING, pos INT, batch STRING"
@@ -89,7 +88,7 @@ def add_release(refs: DataFrame, folder: str, release: str) -> None:
     new = materialize(
         rows.join(known, ["family", "digest"], "left_anti").groupBy("family", "digest").agg(F.first("seq").alias("seq"))
     )
-    seeds = new.select("family", "digest", F.posexplode(kmers("seq", settings.k)).alias("pos", "kmer"))
+    seeds = kmer_rows(new, ["family", "digest"], settings.k)
     seeds = seeds.groupBy("family", "digest", "kmer").agg(F.min("pos").alias("pos"))
     # One writer for each bucket, so that a bucket is one file in each batch.
     seeds = seeds.repartition(settings.buckets, *_key(settings)).withColumn("batch", F.lit(batch))

@@ -18,10 +18,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refpanel.functions import kmers, residues
+from refpanel.functions.sequence import chunks
 from refpanel.session import materialize
 
 # Published Karlin-Altschul constants for match +1, mismatch -2.
 MATCH, MISMATCH, LAMBDA, KAPPA = 1, -2, 1.33, 0.621
+#: Letters whose k-mers are cut in one row.
+CHUNK = 65_536
 #: Hits expected by chance, at most, unless a search says otherwise.
 MAX_EVALUE = 0.001
 
@@ -73,9 +76,16 @@ def kmer_codes(seqs: DataFrame, group: list[str], k: int) -> DataFrame:
     return each.select(*group, "id", "n_kmers", F.xxhash64(*group, "_kmer").alias("code"))
 
 
+def kmer_rows(seqs: DataFrame, keys: list[str], k: int, chunk: int = CHUNK) -> DataFrame:
+    """``(keys, pos, kmer)`` of every k-mer of ``seq``, in rows bounded by ``chunk`` however long it is."""
+    pieces = seqs.select(*keys, F.posexplode(chunks("seq", chunk, k - 1)).alias("_c", "_piece"))
+    each = pieces.select(*keys, "_c", F.posexplode(kmers("_piece", k)).alias("_p", "kmer"))
+    return each.select(*keys, (F.col("_c") * chunk + F.col("_p")).alias("pos"), "kmer")
+
+
 def seed_index(seqs: DataFrame, k: int) -> DataFrame:
     """Seed index ``(kmer, family, accession, pos)`` of references, first position of each k-mer."""
-    hits = seqs.select("family", "accession", F.posexplode(kmers("seq", k)).alias("pos", "kmer"))
+    hits = kmer_rows(seqs, ["family", "accession"], k)
     return hits.groupBy("kmer", "family", "accession").agg(F.min("pos").alias("pos"))
 
 
@@ -135,8 +145,8 @@ def align_pairs(
         if pairs is not None:
             used = pairs.select(*group, F.col(f"{side}_id").alias("id")).distinct()
             seqs = seqs.join(used, [*group, "id"], "left_semi")
-        pos = seqs.select(*group, "id", F.posexplode(kmers("seq", k)).alias("_p", "kmer"))
-        return pos.groupBy(*group, "id", "kmer").agg(F.min("_p").alias(f"{side}_pos")).withColumnRenamed("id", f"{side}_id")
+        pos = kmer_rows(seqs, [*group, "id"], k)
+        return pos.groupBy(*group, "id", "kmer").agg(F.min("pos").alias(f"{side}_pos")).withColumnRenamed("id", f"{side}_id")
 
     if ref_seeds is not None:
         shared = seeds(queries, "q").join(ref_seeds, [*group, "kmer"])

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from refpanel.functions import kmers, revcomp
+from refpanel.functions import revcomp
 from refpanel.functions.sequence import GENETIC_CODE
 from refpanel.operators import alignment as aln
 from refpanel.operators import qc, reads, regions
@@ -37,7 +37,7 @@ _KMERS = """{name} AS (SELECT {keys}, kmer, min(pos) AS pos FROM (
 
 @query("kmers", f"WITH src AS (SELECT item_id, text AS seq FROM benchmark) SELECT item_id, CAST(i - 1 AS INTEGER) AS pos, substr(seq, i, 21) AS kmer FROM (SELECT *, unnest(generate_series(1, length(seq) - 20)) AS i FROM src)")
 def kmers_query(spark, d):
-    return s.table(spark, d, "benchmark").select("item_id", F.posexplode(kmers("text", 21)).alias("pos", "kmer"))
+    return sim.kmer_rows(s.table(spark, d, "benchmark").select("item_id", F.col("text").alias("seq")), ["item_id"], 21)
 
 
 @query("seed_index", f"WITH {s.DOC_SEQS}, {_KMERS.format(name='idx', keys='family, accession', k=K, src='seqs')} SELECT family, accession, count(*) AS n_kmers, CAST(sum(pos) AS BIGINT) AS pos_sum, min(kmer) AS first_kmer FROM idx GROUP BY 1, 2")
