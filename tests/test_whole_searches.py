@@ -26,3 +26,8 @@ def weak(spark, tmp_path_factory):
 def test_similarity_join_keeps_weak_hits(spark, weak):
     (row,) = QUERIES["similarity_join"](spark, weak).collect()
     assert (row.accession, row.subject_id, row.matches) == ("7", "4", 17)
+
+
+def test_negative_purity_keeps_weak_hits(spark, weak):
+    rows = {r.accession: r for r in QUERIES["negative_purity"](spark, weak).collect()}
+    assert rows["3"].max_pident == 100.0 and rows["3"].flagged and rows["0"].max_pident == 0.0
