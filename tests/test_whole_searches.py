@@ -31,3 +31,19 @@ def test_similarity_join_keeps_weak_hits(spark, weak):
 def test_negative_purity_keeps_weak_hits(spark, weak):
     rows = {r.accession: r for r in QUERIES["negative_purity"](spark, weak).collect()}
     assert rows["3"].max_pident == 100.0 and rows["3"].flagged and rows["0"].max_pident == 0.0
+
+
+def test_purity_manifest_counts_weak_hits(spark, weak):
+    (row,) = QUERIES["purity_manifest"](spark, weak).collect()
+    assert (row.n_total, row.n_kept, row.n_flagged) == (3, 2, 1)
+
+
+def test_profile_scan_keeps_weak_hits(spark, weak):
+    (row,) = QUERIES["profile_scan"](spark, weak).collect()
+    assert (row.family, row.query_id, row.n_scored) == ("en", "7", 17)
+
+
+def test_benchmark_cascade_takes_every_hit(spark):
+    data = "/root/testdata/sf0.001"
+    of = lambda name: {tuple(r) for r in QUERIES[name](spark, data).collect()}
+    assert of("benchmark_cascade") == of("cascade_config")
