@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from refpanel.functions import residues
 from refpanel.operators.metrics import ratio
-from refpanel.operators.similarity import similarity_join
+from refpanel.operators.similarity import MAX_EVALUE, similarity_join
 from refpanel.session import materialize
 
 GAP = "-"
@@ -83,15 +83,18 @@ def residue_columns(alignment: DataFrame) -> DataFrame:
     )
 
 
-def profile_scan(queries: DataFrame, alignment: DataFrame, profile: DataFrame, k: int = 5, containment: int | None = None) -> DataFrame:
+def profile_scan(
+    queries: DataFrame, alignment: DataFrame, profile: DataFrame, k: int = 5, containment: int | None = None, max_evalue: float | None = MAX_EVALUE
+) -> DataFrame:
     """Score of each query against each family's profile on its best seeded diagonal.
 
     The query's best train member of a family gives the diagonal; every query residue of the
     seeded span maps through that member to an alignment column and adds its log-odds. Columns
-    or residues the profile does not hold add nothing.
+    or residues the profile does not hold add nothing. ``max_evalue`` and ``containment`` are those
+    of ``similarity_join``.
     """
     members = alignment.select("family", "accession", F.replace("aligned", F.lit(GAP), F.lit("")).alias("seq"))
-    hits = similarity_join(queries.select("accession", "seq"), members, k, containment=containment, same_family=False)
+    hits = similarity_join(queries.select("accession", "seq"), members, k, max_evalue, containment, same_family=False)
     spans = hits.join(queries.select("accession", "seq"), "accession").select(
         "accession",
         "family",
