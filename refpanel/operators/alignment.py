@@ -94,7 +94,7 @@ def profile_scan(
     of ``similarity_join``.
     """
     members = alignment.select("family", "accession", F.replace("aligned", F.lit(GAP), F.lit("")).alias("seq"))
-    hits = similarity_join(queries.select("accession", "seq"), members, k, max_evalue, containment, same_family=False)
+    hits = materialize(similarity_join(queries.select("accession", "seq"), members, k, max_evalue, containment, same_family=False))
     spans = hits.join(queries.select("accession", "seq"), "accession").select(
         "accession",
         "family",
@@ -103,10 +103,13 @@ def profile_scan(
         "q_start",
         F.posexplode(F.slice(residues("seq"), F.col("q_start") + 1, F.col("span"))).alias("off", "residue"),
     )
+    # Only members that are the best of some query are cut into residues.
+    chosen = hits.select("family", F.col("subject_id").alias("accession")).distinct()
+    hit_rows = alignment.join(chosen, ["family", "accession"], "left_semi")
     mapped = spans.select(
         "family", F.col("accession").alias("query_id"), F.col("subject_id").alias("accession"), "residue",
         (F.col("q_start") + F.col("off") - F.col("diag")).cast("int").alias("idx"),
-    ).join(residue_columns(alignment), ["family", "accession", "idx"])
+    ).join(residue_columns(hit_rows), ["family", "accession", "idx"])
     return (
         mapped.join(profile.select("family", "col", "residue", "log_odds"), ["family", "col", "residue"])
         .groupBy("family", "query_id")
