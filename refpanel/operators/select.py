@@ -142,19 +142,24 @@ def check_unique_models(families: DataFrame) -> None:
 def sibling_exclusion_audit(families: DataFrame) -> DataFrame:
     """Per family, gene symbols of same-anchor siblings that its negatives do not exclude.
 
-    The symbols of an anchor domain are gathered once and each family subtracts its own and
-    its excluded ones: work is linear in the config, no family pairs are formed.
+    The symbols of an anchor domain are gathered and sorted once and each family subtracts its own
+    and its excluded ones in one pass, which keeps their order; no family pairs are formed. What is
+    written is a list per family as long as its anchor has symbols. The families are spread over all
+    tasks, however few the anchors are.
     """
     blank = F.array().cast("array<string>")
+    tasks = int(families.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     anchored = families.withColumn("anchor", F.explode("neg_pfam"))
-    known = anchored.withColumn("_g", F.explode("pos_genes")).groupBy("anchor").agg(F.collect_set("_g").alias("_all"))
-    missing = F.array_sort(
-        F.array_except(F.array_except("_all", F.coalesce("exclude_genes", blank)), F.coalesce("pos_genes", blank))
-    )
+    symbols = F.sort_array(F.collect_set("_g"))
+    known = anchored.withColumn("_g", F.explode("pos_genes")).groupBy("anchor").agg(symbols.alias("_all"))
+    own = F.concat(F.coalesce("exclude_genes", blank), F.coalesce("pos_genes", blank))
+    # Exploding a single list keeps it from being computed once for each column that reads it.
+    missing = F.explode(F.array(F.array_except("_all", own))).alias("_missing")
     return (
-        anchored.join(known, "anchor")
-        .select("family", "anchor", F.array_join(missing, ",").alias("missing_genes"), F.size(missing).alias("n_missing"))
-        .filter("n_missing > 0")
+        anchored.repartition(tasks, "family").join(F.broadcast(known), "anchor")
+        .select("family", "anchor", missing)
+        .filter(F.size("_missing") > 0)
+        .select("family", "anchor", F.array_join("_missing", ",").alias("missing_genes"), F.size("_missing").alias("n_missing"))
     )
 
 

@@ -52,3 +52,16 @@ def test_profile_scan_cuts_only_chosen_members(spark):
     plan = scan._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan
     assert [(r.family, r.query_id, r.n_scored) for r in scan.collect()] == [("a", "2", 60)]
+
+
+def test_sibling_audit_subtracts_once(spark):
+    from refpanel.operators import select
+
+    rows = [(f"f{i}", [f"g{i}", f"x{i % 3}"], ["P"], ["g1"] if i % 2 else None) for i in range(6)]
+    panel = spark.createDataFrame(rows, "family string, pos_genes array<string>, neg_pfam array<string>, exclude_genes array<string>")
+    audit = select.sibling_exclusion_audit(panel)
+    assert audit._jdf.queryExecution().optimizedPlan().toString().count("array_except") == 1
+    symbols = {g for r in rows for g in r[1]}
+    want = {f: ",".join(sorted(symbols - set(pos) - set(out or []))) for f, pos, _, out in rows}
+    assert {r.family: r.missing_genes for r in audit.collect()} == want
+    assert all(r.n_missing == len(want[r.family].split(",")) for r in audit.collect())
