@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from pathlib import Path
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from refpanel.session import checkpoint_root
+from refpanel.session import checkpoint_root, ship_code
 
 #: Entries a worker's word cache may hold before it starts afresh.
 CACHE_ENTRIES = 1_000_000
@@ -26,16 +23,6 @@ LOWER = bytes(_UPPER.get(c, c) for c in range(256))
 ALNUM = bytes(_UPPER.get(c, c if c >= 128 or chr(c).isalnum() else 32) for c in range(256))
 
 
-def ship_code(spark: SparkSession) -> None:
-    """Lets the Python workers of this session import the package, once per context."""
-    context = spark.sparkContext
-    if not getattr(context, "_refpanel_shipped", False):
-        root = Path(__file__).resolve().parents[1]
-        target = shutil.make_archive(f"{tempfile.mkdtemp(prefix='spark-')}/refpanel", "zip", root.parent, root.name)
-        context.addPyFile(target)  # Spark's own file server hands it to the executors
-        context._refpanel_shipped = True
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     ship_code(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refpanel.functions import revcomp
-from refpanel.functions.sequence import chunks, translate_frame, windows
+from refpanel.functions.sequence import GENETIC_CODE, chunks, windows
+from refpanel.session import ship_code
 
 FLANK = 300
 KMER = 21
@@ -143,6 +146,51 @@ def with_background(truth: DataFrame, background: DataFrame) -> DataFrame:
     return truth.select(*TRUTH_COLUMNS).unionByName(rows)
 
 
+def _codons() -> np.ndarray:
+    """Residue of each codon by its three letters' codes (0-3 for T, C, A, G, 4 for others), as a flat table."""
+    table = np.full(125, ord("X"), np.uint8)
+    for n, residue in enumerate(GENETIC_CODE):
+        table[25 * (n // 16) + 5 * (n // 4 % 4) + n % 4] = ord(residue)
+    return table
+
+
+_LETTERS = np.full(256, 4, np.uint8)
+for _n, _pair in enumerate(("Tt", "Cc", "Aa", "Gg")):
+    _LETTERS[[ord(x) for x in _pair]] = _n
+_CODONS, _PAIRED = _codons(), np.array([2, 3, 0, 1, 4], np.uint8)  # T-A, C-G
+_ORFS = "orf_id string, read_id string, frame int, start int, aa string"
+
+
+def _orfs_of(names: list, seqs: list, min_aa: int) -> tuple[list, ...]:
+    """ORF columns of some reads, which are translated together: one array operation for each frame of all."""
+    out = ([], [], [], [], [])
+    texts = [s.encode("ascii", "replace") for s in seqs]  # a letter of any kind is one byte
+    lengths = np.array([len(x) for x in texts])
+    ends = np.cumsum(lengths)
+    for back in (0, 3):
+        codes = _LETTERS[np.frombuffer(b"".join(x[::-1] for x in texts) if back else b"".join(texts), np.uint8)]
+        codes = (_PAIRED[codes] if back else codes).astype(np.intp)
+        for shift in (1, 2, 3):
+            size = np.maximum(lengths - shift + 1, 0) // 3
+            first = np.cumsum(size + 1) - size - 1  # a stop after each read
+            place = np.arange(int((size + 1).sum())) - np.repeat(first, size + 1)
+            real = place < np.repeat(size, size + 1)
+            at = (np.repeat(ends - lengths + shift - 1, size + 1) + 3 * place)[real]
+            residues = np.full(len(place), ord("*"), np.uint8)
+            residues[real] = _CODONS[25 * codes[at] + 5 * codes[at + 1] + codes[at + 2]]
+            stops = np.flatnonzero(residues == ord("*"))
+            starts = np.concatenate([[0], stops[:-1] + 1]) if len(stops) else stops
+            long = stops - starts >= min_aa
+            starts, stops = starts[long], stops[long]
+            read = np.searchsorted(first, starts, "right") - 1
+            number = np.arange(len(read)) - np.searchsorted(read, read) + 1
+            text, frame = residues.tobytes().decode("ascii"), shift + back
+            for r, n, a, b, s in zip(read.tolist(), number.tolist(), starts.tolist(), stops.tolist(), (shift + 3 * (starts - first[read])).tolist()):
+                for column, value in zip(out, ("_".join(str(x) for x in (names[r], s, frame, n) if x is not None), names[r], frame, s, text[a:b])):
+                    column.append(value)
+    return out
+
+
 def translate_orfs(reads: DataFrame, min_aa: int = 32) -> DataFrame:
     """Stop-free stretches of at least ``min_aa`` residues in all six frames.
 
@@ -150,24 +198,24 @@ def translate_orfs(reads: DataFrame, min_aa: int = 32) -> DataFrame:
     ``<read>_<start>_<frame>_<n>``: 1-based start on the read (on its reverse complement for
     frames 4-6) and the running number of the ORF inside its frame.
     """
-    strands = {0: F.col("seq"), 3: revcomp("seq")}
-    frames = F.array(
-        *[
-            F.struct(F.lit(f + add).alias("frame"), F.lit(f).alias("shift"), F.split(translate_frame(s, f), "\\*").alias("parts"))
-            for add, s in strands.items()
-            for f in (1, 2, 3)
-        ]
-    )
-    parts = reads.select("read_id", F.explode(frames).alias("f")).select("read_id", "f.*")
-    # Codons before part i: the lengths of the parts before it plus one stop each.
-    starts = F.transform(
-        "parts",
-        lambda p, i: F.struct(
-            p.alias("aa"),
-            (F.col("shift") + 3 * (i + F.aggregate(F.slice("parts", 1, i), F.lit(0), lambda a, x: a + F.length(x)))).alias("start"),
-        ),
-    )
-    long = F.filter(starts, lambda s: F.length(s["aa"]) >= min_aa)
-    orfs = parts.select("read_id", "frame", F.posexplode(long).alias("n", "o"))
-    name = F.concat_ws("_", "read_id", F.col("o.start").cast("string"), F.col("frame").cast("string"), (F.col("n") + 1).cast("string"))
-    return orfs.select(name.alias("orf_id"), "read_id", "frame", F.col("o.start").alias("start"), F.col("o.aa").alias("aa"))
+    def translated(batches):
+        for batch in batches:
+            names, seqs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for at, end in _spans(seqs):
+                columns = _orfs_of(names[at:end], seqs[at:end], min_aa)
+                yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(columns, types)], ["orf_id", "read_id", "frame", "start", "aa"])
+
+    ship_code(reads.sparkSession)
+    types = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string()]
+    return reads.filter("seq IS NOT NULL").select(F.col("read_id").cast("string"), "seq").mapInArrow(translated, _ORFS)
+
+
+def _spans(seqs: list) -> list[tuple[int, int]]:
+    """Runs of reads of about ``CHUNK`` letters at most, or one read."""
+    cuts, letters = [0], 0
+    for i, s in enumerate(seqs):
+        if i > cuts[-1] and letters + len(s) > CHUNK:
+            cuts.append(i)
+            letters = 0
+        letters += len(s)
+    return list(zip(cuts, [*cuts[1:], len(seqs)])) if seqs else []
