@@ -59,19 +59,25 @@ def assign_contig(reads: DataFrame, contigs: DataFrame) -> DataFrame:
     """Add ``contig_id``: the longest contig id the read id starts with; null when none fits.
 
     A prefix match becomes an equi-join: only prefixes as long as some contig id are tried, and
-    contig ids have few distinct lengths (at most their longest length).
+    contig ids have few distinct lengths (at most their longest length). Reads that begin alike, as
+    far as a contig id can reach, are looked up once; a contig's reads have few such beginnings.
     """
     sizes = sorted(r[0] for r in contigs.select(F.length("contig_id")).distinct().collect() if r[0])
-    prefixes = F.explode(F.array(*[F.when(F.length("read_id") >= n, F.substring("read_id", 1, n)) for n in sizes]))
+    reads = reads.drop("contig_id")
+    if not sizes:
+        return reads.withColumn("contig_id", F.lit(None).cast("string"))
+    head = F.substring("read_id", 1, sizes[-1])
+    prefixes = F.explode(F.array(*[F.when(F.length("_head") >= n, F.substring("_head", 1, n)) for n in sizes]))
     found = (
-        reads.select("read_id", prefixes.alias("contig_id"))
+        reads.select(head.alias("_head")).distinct()
+        .select("_head", prefixes.alias("contig_id"))
         .filter(F.col("contig_id").isNotNull())
         .join(contigs.select("contig_id").distinct(), "contig_id", "left_semi")
-        .groupBy("read_id")
+        .groupBy("_head")
         .agg(F.max(F.struct(F.length("contig_id").alias("n"), "contig_id")).alias("m"))
-        .select("read_id", F.col("m.contig_id").alias("contig_id"))
+        .select("_head", F.col("m.contig_id").alias("contig_id"))
     )
-    return reads.drop("contig_id").join(found, "read_id", "left")
+    return reads.withColumn("_head", head).join(found, "_head", "left").drop("_head")
 
 
 def _anchor(read: Column, k: int, probes: int) -> Column:
