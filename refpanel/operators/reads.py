@@ -6,10 +6,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from refpanel.functions import revcomp
-from refpanel.functions.sequence import GENETIC_CODE, chunks, windows
-from refpanel.session import ship_code
+from refpanel.functions.sequence import COMPLEMENT_FROM, COMPLEMENT_TO, GENETIC_CODE, chunks, windows
+from refpanel.session import materialize, ship_code
 
 FLANK = 300
 KMER = 21
@@ -17,6 +18,10 @@ PROBES = 8
 MIN_OVERLAP = 20
 #: Letters of a contig whose tiles are cut in one row, about.
 CHUNK = 65_536
+#: Letters of contigs and reads that are looked up together, about.
+TASK_LETTERS = 2_000_000
+#: Letters of a contig for each task that shares its reads.
+LONG = 2_000_000
 TRUTH_COLUMNS = ["read_id", "family", "label", "accession", "overlaps_cds", "overlap_bp", "read_length"]
 
 
@@ -80,42 +85,124 @@ def assign_contig(reads: DataFrame, contigs: DataFrame) -> DataFrame:
     return reads.withColumn("_head", head).join(found, "_head", "left").drop("_head")
 
 
-def _anchor(read: Column, k: int, probes: int) -> Column:
-    """Start of the first probe k-mer whose last place in the contig lets the whole read fit."""
-    n = F.length(read)
-    step = F.greatest(F.lit(1), F.floor((n - k) / probes).cast("int"))
-    offsets = F.when(n >= k, F.sequence(F.lit(0), n - k, step))
+def _codes(letters: np.ndarray, kinds: int, at: np.ndarray, k: int, lead: np.ndarray) -> np.ndarray:
+    """A number for ``lead`` and the ``k`` letters from each place ``at``: equal where these are, and only there.
+
+    Before the numbers grow too large they are replaced by their ranks."""
+    code, size = lead, int(lead.max(initial=0)) + 1
+    for i in range(k):
+        if size * kinds >= 1 << 62:
+            ranks, code = np.unique(code, return_inverse=True)
+            size = len(ranks)
+        code = code * kinds + letters[at + i]
+        size *= kinds
+    return code
+
+
+def _steps(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the ``sizes`` each of their units belongs to, and its number there."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _places(contigs: list[str], seqs: list[str], owner: np.ndarray, k: int, probes: int) -> np.ndarray:
+    """Start of each read on its contig (the ``owner``-th), -1 where it has none.
+
+    The first probe k-mer whose last place in the contig lets the whole read fit, forward ones first."""
+    texts = [*contigs, *seqs, *(s.translate(_PARTNERS)[::-1] for s in seqs)]
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    starts, points = np.cumsum(lengths) - lengths, np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    used = np.flatnonzero(np.bincount(points))
+    rank = np.zeros(int(used.max(initial=0)) + 1, np.int64)
+    rank[used] = np.arange(len(used))
+    contig, place = _steps(np.maximum(lengths[: len(contigs)] - k + 1, 0))
+    # Probes of a read: all of its letters as they are, then all of the reverse complement.
+    n = lengths[len(contigs) : len(contigs) + len(seqs)]
+    step = np.maximum((n - k) // probes, 1)
+    count = np.where(n >= k, (n - k) // step + 1, 0)
+    read, number = _steps(2 * count)
+    strand, number = number // count[read], number % count[read]
+    offset = number * step[read]
+    at = np.concatenate([starts[contig] + place, starts[len(contigs) + strand * len(seqs) + read] + offset])
+    code = _codes(rank[points], max(1, len(used)), at, k, np.concatenate([contig, owner[read]]))
+    held, asked = code[: len(contig)], code[len(contig) :]
+    order = np.argsort(held, kind="stable")  # places of a k-mer stay in order
+    held = held[order]
+    last = np.searchsorted(held, asked, "right") - 1
+    out = np.full(len(seqs), -1, np.int64)
+    met = np.flatnonzero(last >= 0)
+    met = met[held[last[met]] == asked[met]]
+    start = place[order[last[met]]] - offset[met]
+    fits = (start >= 0) & (start + n[read[met]] <= lengths[owner[read[met]]])
+    found, first = np.unique(read[met][fits], return_index=True)
+    out[found] = start[fits][first]
+    return out
 
-    def place(i: Column) -> Column:
-        # Last occurrence = first occurrence in the reversed contig. A literal pattern is
-        # searched with skips (Boyer-Moore), which instr does not do; characters that mean
-        # something in a pattern are escaped.
-        kmer = F.regexp_replace(F.reverse(F.substring(read, i + 1, F.lit(k))), "([^A-Za-z0-9])", r"\\$1")
-        back = F.regexp_instr(F.col("_reversed"), kmer)
-        at = F.col("contig_length") - back - (k - 1)
-        start = at - i
-        return F.when((back > 0) & (start >= 0) & (start + n <= F.col("contig_length")), start)
 
-    # coalesce stops at the first hit, so later probes are not searched.
-    return F.aggregate(offsets, F.lit(None).cast("int"), lambda found, i: F.coalesce(found, place(i)))
+_PARTNERS = str.maketrans(COMPLEMENT_FROM, COMPLEMENT_TO)
 
 
 def locate_reads(reads: DataFrame, contigs: DataFrame, k: int = KMER, probes: int = PROBES) -> DataFrame:
     """``start`` and ``end`` (half-open) of each read on its own contig; reads that fit nowhere are dropped.
 
     Probes at 0, step, 2*step, ...; forward before reverse complement; a k-mer found more than
-    once counts at its last place. One join brings the contig to its reads; the k-mer lookups
-    are string searches in that row, so neither side is blown up into k-mers.
+    once counts at its last place. Contigs and reads are dealt by contig and stream through a task,
+    which sorts the k-mers of some contigs at a time and looks up their reads together, so the cost
+    of a read does not depend on the length of its contig. Long contigs go to several tasks with a
+    share of their reads each.
     """
-    refs = contigs.select("contig_id", F.reverse("seq").alias("_reversed"), F.length("seq").alias("contig_length"))
-    located = reads.join(refs, "contig_id").withColumn(
-        "start", F.coalesce(_anchor(F.col("seq"), k, probes), _anchor(revcomp("seq"), k, probes))
-    )
-    return (
-        located.filter(F.col("start").isNotNull())
-        .withColumn("end", F.col("start") + F.length("seq"))
-        .drop("_reversed", "contig_length")
+    spark, rest = reads.sparkSession, [c for c in reads.columns if c not in ("contig_id", "seq")]
+    whole = contigs.filter("contig_id IS NOT NULL").select("contig_id", "seq").filter(F.length("seq") >= k)
+    parts = F.ceil(F.max(F.length("seq")) / LONG).cast("int").alias("_parts")
+    long = materialize(whole.filter(F.length("seq") > LONG).groupBy("contig_id").agg(parts))  # stored, so that its size is known
+    parts, row = F.coalesce("_parts", F.lit(1)), F.struct(*rest, F.lit(0).alias("_"))
+    asked = reads.filter("contig_id IS NOT NULL").filter(F.length("seq") >= k).join(long, "contig_id", "left")
+    asked = asked.select("contig_id", F.lit(1).alias("_side"), "seq", row.alias("_row"), F.pmod(F.xxhash64("seq"), parts).cast("int").alias("_part"))
+    held = whole.join(long, "contig_id", "left").select(
+        "contig_id", F.lit(0).alias("_side"), "seq", F.lit(None).cast(asked.schema["_row"].dataType).alias("_row"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part")
     )
+    both = held.unionByName(asked).repartition("contig_id", "_part").sortWithinPartitions("contig_id", "_part", "_side")
+    fields = asked.select("contig_id", "seq", "_row").schema.fields
+    schema = StructType([*fields, StructField("start", IntegerType()), StructField("end", IntegerType())])
+
+    def located(batches):
+        key, texts = None, []  # the contig that reads now come from; of several with one id each counts
+        for batch in batches:
+            ids, sides, parts, seqs = (c.to_pylist() for c in batch.columns[:4])
+            contigs, owner, rows, letters, mine = [], [], [], 0, range(0)
+
+            def found():
+                start = _places(contigs, [seqs[i] for i in rows], np.array(owner), k, probes)  # noqa: B023
+                hit = np.flatnonzero(start >= 0)
+                kept = batch.take(pa.array(np.array(rows)[hit]))  # noqa: B023
+                end = start[hit] + [len(seqs[rows[i]]) for i in hit]  # noqa: B023
+                columns = [kept.column(0), kept.column(3), kept.column(4), pa.array(start[hit], pa.int32()), pa.array(end.astype(np.int64), pa.int32())]
+                return pa.RecordBatch.from_arrays(columns, ["contig_id", "seq", "_row", "start", "end"])
+
+            for i, (name, side, part, seq) in enumerate(zip(ids, sides, parts, seqs)):
+                if side == 0:
+                    if (name, part) != key:
+                        key, texts = (name, part), []
+                    texts.append(seq)
+                    mine = range(0)
+                elif (name, part) == key:
+                    if not mine:
+                        mine = range(len(contigs), len(contigs) + len(texts))
+                        contigs += texts
+                        letters += sum(map(len, texts))
+                    for m in mine:
+                        owner.append(m)
+                        rows.append(i)
+                        letters += 2 * len(seq)
+                    if letters > TASK_LETTERS:
+                        yield found()
+                        contigs, owner, rows, letters, mine = [], [], [], 0, range(0)
+            if rows:
+                yield found()
+
+    ship_code(spark)
+    placed = both.select("contig_id", "_side", "_part", "seq", "_row").mapInArrow(located, schema)
+    return placed.select("contig_id", *(F.col("seq") if c == "seq" else F.col(f"_row.{c}") for c in reads.columns if c != "contig_id"), "start", "end")
 
 
 def overlap_length(start, end, other_start, other_end) -> Column:
@@ -123,9 +210,9 @@ def overlap_length(start, end, other_start, other_end) -> Column:
     return F.greatest(F.lit(0), F.least(end, other_end) - F.greatest(start, other_start))
 
 
-def cds_overlap(located: DataFrame, bounds: DataFrame, min_bp: int = MIN_OVERLAP) -> DataFrame:
-    """Add ``overlap_bp`` and ``overlaps_cds`` (0/1) against the CDS of the read's contig."""
-    cds = bounds.filter("usable").select("contig_id", "cds_start", "cds_end")
+def cds_overlap(located: DataFrame, bounds: DataFrame, min_bp: int = MIN_OVERLAP, names: list[str] | None = None) -> DataFrame:
+    """Add ``overlap_bp`` and ``overlaps_cds`` (0/1) against the CDS of the read's contig, and its ``names``."""
+    cds = bounds.filter("usable").select("contig_id", "cds_start", "cds_end", *(names or []))
     bp = overlap_length(F.col("start"), F.col("end"), F.col("cds_start"), F.col("cds_end"))
     return located.join(cds, "contig_id").withColumn("overlap_bp", bp).withColumn("overlaps_cds", (F.col("overlap_bp") >= min_bp).cast("int"))
 
@@ -138,9 +225,8 @@ def read_truth(reads: DataFrame, contigs: DataFrame, flank: int = FLANK, k: int
     if "contig_id" not in reads.columns:
         reads = assign_contig(reads, contigs)
     located = locate_reads(reads.select("read_id", "contig_id", "seq"), contigs, k, probes)
-    scored = cds_overlap(located, cds_bounds(contigs, flank), min_bp)
-    names = contigs.select("contig_id", "family", "label", "accession")
-    return scored.join(names, "contig_id").withColumn("read_length", F.length("seq")).select(*TRUTH_COLUMNS)
+    located = located.select("read_id", "contig_id", "start", "end", F.length("seq").alias("read_length"))
+    return cds_overlap(located, cds_bounds(contigs, flank), min_bp, ["family", "label", "accession"]).select(*TRUTH_COLUMNS)
 
 
 def with_background(truth: DataFrame, background: DataFrame) -> DataFrame:
