@@ -67,7 +67,8 @@ def overlap_regions(reads: DataFrame, regions: DataFrame, min_bp: int = MIN_OVER
         & (F.col("a._bin") == F.floor(F.greatest("a.start", "b._rs") / bin_size))
         & (F.least("a.end", "b._re") - F.greatest("a.start", "b._rs") + 1 >= min_bp)
     )
-    matched = binned(reads).alias("a").join(r.alias("b"), near, "left")
+    # A plan counts regions as they are before they are cut into bins, so it would broadcast many more rows than it knows.
+    matched = binned(reads).alias("a").join(r.alias("b").hint("merge"), near, "left")
     return (
         matched.groupBy(*[F.col(f"a.{c}") for c in reads.columns])
         .agg(F.min(F.when(F.col("b.ord").isNotNull(), F.struct("b.ord", "b._family"))).alias("m"))
