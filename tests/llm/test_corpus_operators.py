@@ -143,6 +143,20 @@ def test_language_model_query_sees_two_words_before(spark, tmp_path, monkeypatch
     assert workload.op1_kneser_ney(spark, str(tmp_path)).count() == 20 and orders[0] >= 3
 
 
+def test_language_model_takes_few_bytes(spark, tmp_path):
+    """A file entry of an n-gram is a number and a byte; counts that need more are as exact."""
+    draw = random.Random(4)
+    words = [f"w{k}" for k in range(3000)]
+    texts = [" ".join(draw.choices(words, k=200)) for _ in range(150)] + ["often so often"] * 300
+    model = ngram.train(spark.createDataFrame([(t,) for t in texts], "text string"), order=3, folder=str(tmp_path / "model"))
+    grams = {tuple(line[k - n + 1 : k + 1]) for t in texts for line in [["<s>", "<s>", *t.split(), None]] for n in (1, 2, 3) for k in range(2, len(line))}
+    assert sum(f.stat().st_size for f in (tmp_path / "model").iterdir()) < 24 * len(grams)
+    row = ngram.score(spark.createDataFrame([(1, "often so often")], "doc_id long, text string"), model).first()
+    p, _ = plain.kneser_ney(texts, 3, lambda n: ngram.discounts(np.array(n)))
+    line = ["<s>", "<s>", "often", "so", "often", None]
+    assert row.score == pytest.approx(sum(math.log10(p(tuple(line[k - 2 : k]), line[k])) for k in range(2, 6)), rel=1e-9)
+
+
 def test_language_model_rows(odd, nothing):
     model = ngram.train(odd)
     rows = ngram.score(odd, model).collect()
