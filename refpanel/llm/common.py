@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from refpanel.session import checkpoint_root, ship_code
+from refpanel.session import _delete, checkpoint_root, discard, ship_code, shuffles_removed  # noqa: F401
 
 #: Entries a worker's word cache may hold before it starts afresh.
 CACHE_ENTRIES = 1_000_000
@@ -47,17 +47,6 @@ def store(df: DataFrame, kind: str = "table", keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def discard(stored: DataFrame) -> None:
-    """Deletes a table that ``store`` wrote and that nothing reads any more."""
-    for folder in {f.rsplit("/", 1)[0] for f in stored.inputFiles()}:
-        _delete(stored.sparkSession, folder)
-
-
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables stored while it holds are deleted as it ends; for work whose result is stored with
@@ -71,19 +60,6 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             _delete(spark, path)
 
 
-@contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """While it holds, Spark deletes the shuffle files of each query as it ends, not when the driver
-    happens to collect its garbage; for chains of stored tables, which never read them again."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 class Cache(dict):
     """``cache[key]`` computes ``fn(key)`` and keeps it unless the key is a long text; emptied by ``trim``
     when it has grown."""

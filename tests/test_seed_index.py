@@ -134,3 +134,19 @@ def test_reads_are_searched_through_the_index(spark, releases, tmp_path):
     refs = frame(spark, [r for r in first if r[2] is not None])
     plain, indexed = search_reads(orfs, refs), search_reads(orfs, None, index=(folder, "v1"))
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, indexed.collect()))
+
+
+def test_index_is_built_in_rounds_and_names_sequences_by_number(spark, releases, tmp_path, monkeypatch):
+    from refpanel.operators import seed_index
+
+    first, _, queries = releases
+    folder = str(tmp_path / "index")
+    monkeypatch.setattr(seed_index, "ROUND_LETTERS", 500, raising=False)
+    create_seed_index(spark, folder, 5, False, buckets=2)
+    add_release(frame(spark, first), folder, "v1")
+    stored = spark.read.parquet(f"{folder}/seeds")
+    assert dict(stored.dtypes)["n"] == "bigint" and "digest" not in stored.columns
+    assert len(stored.inputFiles()) > 2  # rounds, each with a file for a bucket
+    refs = frame(spark, [r for r in first if r[2] is not None])
+    want = rows_of(similarity_join(frame(spark, queries), refs, 5, same_family=False))
+    assert rows_of(indexed_search(frame(spark, queries), folder, "v1")) == want and want
