@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refpanel.llm.common import CACHE_ENTRIES, Cache, shared_folder, shuffles_removed, store
+from refpanel.llm.common import Cache, shared_folder, shuffles_removed, store
 from refpanel.llm.ngram import mounted
 
 #: Words of the longest phrase: the edges of the graph.
@@ -35,9 +35,12 @@ _FOLDED = bytes(10 if c in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if c == 9 else c +
 #: Grams or words counted in a task before they are handed on, and words' bytes.
 HELD = 1_000_000
 HELD_BYTES = 128 << 20
+#: Rows handed to Spark at once, and words whose keys a worker keeps.
+BATCH_ROWS = 65_536
+KEPT = 250_000
 #: Word numbers of a stored row, and of a block worked on at once, about.
 ROW_IDS = 32_768
-BLOCK_IDS = 500_000
+BLOCK_IDS = 250_000
 #: Files of a lookup table.
 FILES = 64
 #: Parts that the first rows of a language are chosen in, before they meet.
@@ -112,21 +115,23 @@ def word_counts(docs: DataFrame) -> DataFrame:
         counts: dict[str, Counter] = {}
         size = 0
 
-        def out():
-            rows = [(lang, word, n) for lang, mine in counts.items() for word, n in mine.items() if word != BREAK]
+        def out() -> Iterator[pa.RecordBatch]:
+            for lang, mine in counts.items():
+                mine.pop(BREAK, None)
+                while mine:  # taken out as they are handed on
+                    words, n = zip(*(mine.popitem() for _ in range(min(len(mine), BATCH_ROWS))))
+                    columns = [pa.array([lang] * len(n), pa.string()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "f"])
             counts.clear()
-            langs, words, n = zip(*rows) if rows else ((), (), ())
-            columns = [pa.array(langs, pa.string()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["lang", "word", "f"])
 
         for batch in batches:
             for lang, text in _languages(batch):
                 counts.setdefault(lang, Counter()).update(tokens(text))
                 size += len(text)
                 if size > HELD_BYTES or sum(map(len, counts.values())) > HELD:
-                    yield out()
+                    yield from out()
                     size = 0
-        yield out()
+        yield from out()
 
     each = docs.mapInArrow(counted, "lang string, word string, f long")
     return each.groupBy("lang", "word").agg(F.sum("f").alias("f"))
@@ -178,7 +183,7 @@ def _sequences(docs: DataFrame, known: tuple[str, tuple[int, ...]], seed: int) -
                 for lang, text in _languages(batch.slice(k, 256)):
                     words = tokens(text)  # a break has no number either
                     keys.append(np.fromiter(map(caches[lang].__getitem__, words), np.int64, len(words)))
-                if sum(map(len, caches.values())) > CACHE_ENTRIES:
+                if sum(map(len, caches.values())) > KEPT:
                     caches.clear()
                 found = np.split(table.find(np.concatenate(keys)), np.cumsum([len(x) for x in keys])[:-1])
                 found = [ids[(ids != 0) | np.concatenate([[True], ids[:-1] != 0])] for ids in found]  # one 0 between fragments
@@ -207,25 +212,32 @@ def _added(columns: list[np.ndarray], counts: np.ndarray) -> list[np.ndarray]:
 
 
 def _summed(rows_of, names: list[str]):
-    """A task that adds up the rows of its blocks, ``HELD`` at a time."""
+    """A task that adds up the rows of its blocks, ``HELD`` at a time, and hands them on in short
+    batches, since both sides of a worker's pipe hold a batch whole."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
 
         def merged() -> list[np.ndarray]:
             columns = [np.concatenate(c) for c in zip(*held)]
+            held.clear()
             return _added(columns[:-1], columns[-1])
 
+        def out() -> Iterator[pa.RecordBatch]:
+            columns = held.pop()
+            for k in range(0, len(columns[0]), BATCH_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(c[k : k + BATCH_ROWS].astype(np.int64)) for c in columns], names)
+
         for ids in _flat(batches):
             rows = rows_of(ids)
             held.append([*rows, np.ones(len(rows[0]), np.int64)])
-            if sum(len(h[0]) for h in held) > 2 * HELD:
-                held = [merged()]
+            if 2 * sum(len(h[0]) for h in held) > 3 * HELD:
+                held.append(merged())
                 if len(held[0][0]) > HELD:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[0]], names)
-                    held = []
+                    yield from out()
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged()], names)
+            held.append(merged())
+            yield from out()
 
     return task
 
@@ -254,7 +266,7 @@ def edges(sequences: DataFrame, frequent: tuple[str, tuple[int, ...]]) -> DataFr
         for k in range(1, ORDER):
             alive = alive & goes_on[np.minimum(first + k - 1, len(goes_on) - 1)]
             out.append(np.where(alive, ids[np.minimum(first + k, len(ids) - 1)], 0))
-        return out
+        return [c.astype(np.int32) for c in out]  # word numbers fit 31 bits
 
     each = sequences.mapInArrow(_summed(rows, [*WORDS, "f"]), ", ".join(f"{c} long" for c in [*WORDS, "f"]))
     return each.groupBy(*WORDS).agg(F.sum("f").alias("f"))

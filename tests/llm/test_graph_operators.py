@@ -3,9 +3,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -222,3 +225,19 @@ def test_large_products(spark):
 def test_collocation_rows(odd, nothing):
     assert collocations.mine(odd, least=50).count() > 0 and collocations.mine(nothing).count() == 0
     assert set(llm.SQL) >= {"op12_merkle_manifest", "op13_collocations"}
+
+
+def test_counting_tasks_stay_small():
+    """What a task holds and hands on at once doesn't grow with its rows."""
+    draw = np.random.default_rng(5)
+    ids = draw.integers(1, 1_000, (40, 100_000), np.int32)
+    batches = (pa.RecordBatch.from_arrays([pa.array(list(np.pad(x.reshape(-1, 1_000), ((0, 0), (0, 1)))))], ["ids"]) for x in ids)
+    grams = lambda ids: [np.roll(ids, -k)[ids != 0] for k in range(5)]
+    tracemalloc.start()
+    total = 0
+    for batch in collocations._summed(grams, [*collocations.WORDS, "f"])(batches):
+        assert batch.num_rows <= 100_000
+        total += sum(batch.column(5).to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == ids.size and peak < 200 << 20
