@@ -15,7 +15,7 @@ def test_rounds_and_slices_give_what_one_does(tables, monkeypatch, same_family):
     searches = lambda plans: sum("MapInArrow" in p for p in plans)
     once, plans = plans_of(monkeypatch, blocks, run)
     assert searches(plans) == 1
-    for name, value in (("ROUND_LETTERS", 3000), ("SLICE_LETTERS", 1000)):
+    for name, value in (("ROUND_LETTERS", 300), ("SLICE_LETTERS", 500), ("BLOCK_LETTERS", 300)):
         monkeypatch.setattr(blocks, name, value)
     many, plans = plans_of(monkeypatch, blocks, run)
     assert many == once and len(many) > 40
